@@ -223,3 +223,13 @@ def treaty_bs_state(
         money(F.col("r.lc_amount")).alias("lc_amount"),
         F.col("r.profitability_state").alias("profitability_state"),
     )
+
+
+def treaty_cumulative(treaty_movement: DataFrame) -> DataFrame:
+    """T2 on its own: running treaty cashflow cumulative, ordered by (date, step order)."""
+    w = Window.partitionBy("treaty_id").orderBy("reporting_date", "aoc_order") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ev = treaty_movement.filter(F.col("aoc_step").isin(*S.INPUT_STEPS)) \
+        .withColumn("aoc_order", aoc_order(F.col("aoc_step")))
+    return ev.select("treaty_id", "reporting_date", "aoc_step",
+                     money(F.sum("amount").over(w)).alias("treaty_cf_cumulative"))
