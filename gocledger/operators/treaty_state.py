@@ -177,14 +177,15 @@ def treaty_bs_state(
     lc_part = roll_lc + F.when(mv, F.col("move_lc")).otherwise(zero)
     any_part = (F.col("has_roll") | F.col("has_first") | mv | F.col("has_release")).cast("int")
     var_move = (F.col("aoc_step") == S.VARIANCE) & mv
-    ev = (
-        ev.withColumn("c_cf", F.sum(cf_part).over(by_date))
-        .withColumn("c_csm", F.sum(csm_part).over(by_date))
-        .withColumn("c_lc", F.sum(lc_part).over(by_date))
-        .withColumn("c_proxy", F.max(F.when(var_move, F.col("move_proxy"))).over(by_date))
-        .withColumn("c_state", F.max(F.when(var_move, F.col("g_var_state"))).over(by_date))
-        .withColumn("c_any", F.max(any_part).over(by_date))
-        .withColumn("c_has_var", F.max((F.col("aoc_step") == S.VARIANCE).cast("int")).over(by_date))
+    ev = ev.select(
+        "*",
+        F.sum(cf_part).over(by_date).alias("c_cf"),
+        F.sum(csm_part).over(by_date).alias("c_csm"),
+        F.sum(lc_part).over(by_date).alias("c_lc"),
+        F.max(F.when(var_move, F.col("move_proxy"))).over(by_date).alias("c_proxy"),
+        F.max(F.when(var_move, F.col("g_var_state"))).over(by_date).alias("c_state"),
+        F.max(any_part).over(by_date).alias("c_any"),
+        F.max((F.col("aoc_step") == S.VARIANCE).cast("int")).over(by_date).alias("c_has_var"),
     )
     emits_closing = (F.col("c_any") == 1) & (
         (F.col("aoc_step") == S.VARIANCE) | (F.col("c_has_var") == 0))

@@ -54,8 +54,14 @@ class Ledger:
 
     # -- constructors ---------------------------------------------------------
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> Ledger:
-        return cls(spark, binding.bind(spark, sf_dir), **kw)
+    def from_driver(cls, spark: SparkSession, sf_dir: str, materialize_raw: bool = False, **kw) -> Ledger:
+        """Ledger over the driver tables.  ``materialize_raw`` writes the five
+        bound raw tables once (as a production load would) so that many
+        consumers read them instead of re-deriving them from ``lineitem``."""
+        raw = binding.bind(spark, sf_dir)
+        if materialize_raw:
+            raw = {name: cut_lineage(df, f"raw_{name}") for name, df in raw.items()}
+        return cls(spark, raw, **kw)
 
     @classmethod
     def golden(cls, spark: SparkSession, **kw) -> Ledger:
@@ -99,7 +105,7 @@ class Ledger:
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
     def goc_periods(self) -> DataFrame:
-        return cut_lineage(goc_state.goc_periods(self.int_goc_quarterly_movement))
+        return cut_lineage(goc_state.goc_periods(self.int_goc_quarterly_movement), "goc_periods")
 
     @cached_property
     def goc_period_rows(self) -> int:
@@ -114,7 +120,7 @@ class Ledger:
     def int_treaty_bs_state(self) -> DataFrame:
         df = treaty_state.treaty_bs_state(
             self.int_treaty_quarterly_movement, self.goc_periods, self.goc_period_rows, self.params)
-        return cut_lineage(df) if self.materialize_treaty else df
+        return cut_lineage(df, "treaty_bs_state") if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------
     @cached_property

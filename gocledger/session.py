@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "node") -> DataFrame:
+    """Materialise ``df`` reliably and cut its lineage.
+
+    The rows are written once as parquet into the shared checkpoint folder and
+    read back: one job (an eager ``checkpoint()`` of an unpersisted plan runs it
+    twice), the result survives executor loss, and the re-read table carries
+    real file-size statistics for Catalyst's join planning.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/gocledger/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
