@@ -6,7 +6,7 @@ usual generic-test outputs:
 * ``not_null``            -> rows whose column is NULL
 * ``unique``              -> (unique_field, n_records) for values seen more than once
 * ``accepted_values``     -> (value_field, n_records) for non-NULL values outside the set
-* ``relationships``       -> (from_field) child values without a parent (NULL children skipped)
+* ``relationships``       -> (from_field, n_records) child values without a parent (NULL children skipped)
 * ``unique_combination``  -> (key columns..., n_records) for duplicated key tuples
 
 ``run_suite`` evaluates a list of declared test instances and returns one row
@@ -39,7 +39,12 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    child = df.select(F.col(column).alias("from_field")).filter(F.col("from_field").isNotNull())
+    """(from_field, n_records) for child values without a parent.
+
+    Child values are counted first (partial aggregation map-side), so a child
+    value shared by a third of the rows reaches the anti-join as one row."""
+    child = (df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("from_field"))
+             .agg(F.count(F.lit(1)).alias("n_records")))
     keys = parent.select(F.col(field).alias("from_field"))
     return child.join(keys, "from_field", "left_anti")
 
@@ -168,12 +173,10 @@ def declared_tests() -> list[DataTest]:
     return t
 
 
-def _result(model: str, test: str, column: str, failures: F.Column | None, df: DataFrame | None) -> DataFrame:
-    if df is not None:
-        return df.groupBy().agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(model).alias("model"), F.lit(test).alias("test_name"), F.lit(column).alias("column_name"),
-            "failures")
-    raise ValueError("no failures frame")
+def _count_rows(model: str, test: str, column: str, df: DataFrame) -> DataFrame:
+    return df.groupBy().agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(model).alias("model"), F.lit(test).alias("test_name"), F.lit(column).alias("column_name"),
+        "failures")
 
 
 def run_suite(models: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
@@ -201,12 +204,14 @@ def run_suite(models: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> Dat
     for t in tests:
         df = models[t.model]
         if t.test == "unique":
-            parts.append(_result(t.model, t.test, t.column_name, None, unique(df, t.columns[0])))
+            parts.append(_count_rows(t.model, t.test, t.column_name, unique(df, t.columns[0])))
         elif t.test == "unique_combination":
-            parts.append(_result(t.model, t.test, t.column_name, None, unique_combination(df, t.columns)))
+            parts.append(_count_rows(t.model, t.test, t.column_name, unique_combination(df, t.columns)))
         elif t.test == "relationships":
-            parts.append(_result(t.model, t.test, t.column_name, None,
-                                 relationships(df, t.columns[0], models[t.parent], t.field)))
+            orphans = relationships(df, t.columns[0], models[t.parent], t.field)
+            parts.append(orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")).select(
+                F.lit(t.model).alias("model"), F.lit(t.test).alias("test_name"),
+                F.lit(t.column_name).alias("column_name"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -19,20 +19,31 @@ from pyspark.sql import functions as F
 
 from gocledger import schema as S
 from gocledger.functions import money
+from gocledger.operators.joins import bounded_broadcast_join
+from gocledger.params import LedgerParams
 
 
-def retro_quarterly_movement(treaty_state: DataFrame, stg_retro_link: DataFrame,
-                             stg_treaty: DataFrame) -> DataFrame:
+def retro_treaties(stg_treaty: DataFrame) -> DataFrame:
+    """R2: the retro treaty dimension (retro_treaty_id -> retro_goc_id)."""
+    return stg_treaty.filter(F.col("treaty_type") == S.RETRO).select(
+        F.col("treaty_id").alias("retro_treaty_id"), F.col("goc_id").alias("retro_goc_id"))
+
+
+def retro_quarterly_movement(treaty_state: DataFrame, stg_retro_link: DataFrame, retro_dim: DataFrame,
+                             retro_dim_rows: int, params: LedgerParams = LedgerParams()) -> DataFrame:
+    """R1 + R3.  ``retro_dim`` is the (materialised) retro treaty dimension and
+    ``retro_dim_rows`` its measured size: retro treaties are few and one of them
+    may cover a third of all assumed treaties, so the lookup is a size-checked
+    broadcast (salted shuffle beyond the bound), never a join keyed on the hot
+    retro treaty id."""
     losses = treaty_state.filter(
         (F.col("lc_amount") < 0) & F.col("aoc_step").isin(*S.INPUT_STEPS)
     ).select("treaty_id", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order", "lc_amount")
     links = stg_retro_link.select("assumed_treaty_id", "retro_treaty_id", "retro_cession_rate")
-    retro_treaties = stg_treaty.filter(F.col("treaty_type") == S.RETRO).select(
-        F.col("treaty_id").alias("retro_treaty_id"), F.col("goc_id").alias("retro_goc_id"))
-    joined = (
-        losses.join(links, losses.treaty_id == links.assumed_treaty_id, "inner")
-        .join(retro_treaties, "retro_treaty_id", "inner")
-    )
+    with_link = losses.join(links, losses.treaty_id == links.assumed_treaty_id, "inner")
+    joined = bounded_broadcast_join(
+        with_link, retro_dim, ["retro_treaty_id"], "inner", small_rows=retro_dim_rows,
+        max_rows=params.broadcast_max_rows, salt_buckets=params.salt_buckets, salt_key="assumed_treaty_id")
     return joined.select(
         "retro_treaty_id",
         "assumed_treaty_id",

@@ -123,9 +123,18 @@ class Ledger:
         return cut_lineage(df, "treaty_bs_state") if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------
+    @cached_property
+    def retro_treaties(self) -> DataFrame:
+        return cut_lineage(retro.retro_treaties(self.stg_treaty_master), "retro_treaties")
+
+    @cached_property
+    def retro_treaty_rows(self) -> int:
+        return self.retro_treaties.count()
+
     @cached_property
     def int_retro_quarterly_movement(self) -> DataFrame:
-        return retro.retro_quarterly_movement(self.int_treaty_bs_state, self.stg_retro_link, self.stg_treaty_master)
+        return retro.retro_quarterly_movement(self.int_treaty_bs_state, self.stg_retro_link, self.retro_treaties,
+                                              self.retro_treaty_rows, self.params)
 
     @cached_property
     def int_retro_bs_state(self) -> DataFrame:

@@ -34,9 +34,9 @@ def test_each_generic_test_fires(spark):
     cf = led.source("cashflow_input")
     assert [tuple(r) for r in quality.accepted_values(cf, "aoc_step", S.INPUT_STEPS).collect()] == [("OTHER", 1)]
     assert quality.unique_combination(cf, ["treaty_id", "reporting_date", "aoc_step"]).count() == 1
-    assert [r.from_field for r in quality.relationships(
+    assert [tuple(r) for r in quality.relationships(
         led.source("retro_link"), "retro_treaty_id", led.source("treaty_master"), "treaty_id").collect()] == \
-        ["T_MISSING"]
+        [("T_MISSING", 1)]
 
 
 def test_declared_suite_size():
