@@ -1,0 +1,8 @@
+"""Streaming.
+
+The measured model receives one cashflow delivery per quarter and rebuilds its
+ledger from the full history; it has no streams, watermarks or incremental
+state, so this package deliberately contains no operator.  A quarterly
+delivery is loaded with the batch sinks in ``gocledger.sources.sinks`` and the
+ledger is rebuilt by ``gocledger.plans.pipeline.Ledger``.
+"""
