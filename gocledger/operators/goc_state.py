@@ -51,7 +51,11 @@ _STEP_FIELDS = ("aoc_step", "aoc_order", "cf_amount", "cf_cumulative", "csm_amou
 
 def goc_periods(goc_movement: DataFrame) -> DataFrame:
     """One row per GoC x period with every value the GoC ledger and the treaty
-    push-down need (the *wide* GoC state).  GoCs without INIT_RECOG are dropped."""
+    push-down need (the *wide* GoC state).  GoCs without INIT_RECOG are dropped.
+
+    The previous period's closing cumulative is this period's starting
+    cumulative, so the previous-period snapshot (used by roll-forward OPENINGs
+    at GoC and treaty level) needs no lag of a window column."""
     step = F.col("aoc_step")
     wide = goc_movement.groupBy("goc_id", "goc_type", "reporting_date", "reporting_quarter").agg(
         F.sum(F.when(step == S.INIT_RECOG, F.col("amount"))).alias("init_cf"),
@@ -59,37 +63,37 @@ def goc_periods(goc_movement: DataFrame) -> DataFrame:
         F.max((step == S.INIT_RECOG).cast("int")).alias("_init_n"),
         F.max((step == S.VARIANCE).cast("int")).alias("_var_n"),
     )
-    has_init, has_var = F.col("_init_n") == 1, F.col("_var_n") == 1
     init_amt = F.coalesce(F.col("init_cf"), F.lit(0))
     var_amt = F.coalesce(F.col("var_cf"), F.lit(0))
+    pidx = period_index(F.col("reporting_date"))
 
     by_goc = Window.partitionBy("goc_id")
     ordered = by_goc.orderBy("reporting_date")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    wide = (
-        wide.withColumn("period_idx", period_index(F.col("reporting_date")))
-        .withColumn("has_init", has_init)
-        .withColumn("has_var", has_var)
-        .withColumn("cum_end", F.sum(init_amt + var_amt).over(running))
-        .withColumn("_any_init", F.max(F.col("_init_n")).over(by_goc))
-        .withColumn("_prev_idx", F.lag("period_idx").over(ordered))
-        .withColumn("_prev_var", F.lag("has_var").over(ordered))
-        .withColumn("prev_cum", F.lag("cum_end").over(ordered))
-        .filter(F.col("_any_init") == 1)
-    )
+    wide = wide.select(
+        "*",
+        pidx.alias("period_idx"),
+        F.sum(init_amt + var_amt).over(running).alias("cum_end"),
+        F.max(F.col("_init_n")).over(by_goc).alias("_any_init"),
+        (pidx - F.lag(pidx).over(ordered)).alias("_gap"),
+        F.lag(F.col("_var_n")).over(ordered).alias("_prev_var_n"),
+    ).filter(F.col("_any_init") == 1)
+
+    has_var = F.col("_var_n") == 1
     cum_end = F.col("cum_end")
     cum_start = cum_end - init_amt - var_amt
     cum_mid = cum_start + init_amt
-    rollforward = (
-        has_var & F.coalesce(F.col("_prev_var"), F.lit(False))
-        & (F.col("period_idx") - F.col("_prev_idx") == 1)
-    )
+    # the previous quarter closed (had a VARIANCE) — the roll-forward condition
+    prev_closed = F.coalesce((F.col("_gap") == 1) & (F.col("_prev_var_n") == 1), F.lit(False))
     return wide.select(
         "goc_id", "goc_type", "reporting_date", "reporting_quarter", "period_idx",
-        "has_init", "has_var",
-        rollforward.alias("has_rollforward"),
-        F.col("prev_cum"),
+        (F.col("_init_n") == 1).alias("has_init"),
+        has_var.alias("has_var"),
+        (has_var & prev_closed).alias("has_rollforward"),
+        prev_closed.alias("prev_closed"),
+        cum_start.alias("prev_cum"),
+        csm_balance(cum_start).alias("prev_csm"),
+        state_of(cum_start).alias("prev_state"),
         # INIT_RECOG step
         F.col("init_cf"),
         cum_mid.alias("init_cum"),

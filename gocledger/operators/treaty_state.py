@@ -51,25 +51,22 @@ from gocledger.functions import (
 from gocledger.params import LedgerParams
 from gocledger.operators.joins import bounded_broadcast_join
 
-_OUT_FIELDS = ("aoc_step", "aoc_order", "treaty_csm_proxy", "cf_amount", "csm_amount", "lc_amount",
-               "profitability_state")
-
-# GoC snapshot columns used by the treaty rows: same date and previous quarter.
-_CUR = {
+# GoC values a treaty row needs, from the GoC row of the same date: its own
+# INIT_RECOG / VARIANCE step and the previous quarter's CLOSING.
+_SNAPSHOT = {
     "has_init": "g_has_init", "has_var": "g_has_var",
     "init_cf": "g_init_cf", "init_csm": "g_init_csm", "init_lc": "g_init_lc",
     "var_cf": "g_var_cf", "var_cum": "g_var_cum", "var_csm": "g_var_csm", "var_lc": "g_var_lc",
     "var_state": "g_var_state",
+    "prev_closed": "p_closed", "prev_cum": "p_cum", "prev_csm": "p_csm", "prev_state": "p_state",
 }
-_PREV = {"has_var": "p_has_var", "var_cum": "p_cum", "close_csm": "p_csm", "var_state": "p_state"}
+_MONEY_COLS = {"init_cf", "init_csm", "init_lc", "var_cf", "var_cum", "var_csm", "var_lc", "prev_cum", "prev_csm"}
 
 
-def _snapshot(goc_periods: DataFrame, cols: dict[str, str], key: str) -> DataFrame:
-    sel = [F.col("goc_id"), F.col(key).alias("_k")] + [
-        (money(F.col(src)) if src not in ("has_init", "has_var", "var_state") else F.col(src)).alias(dst)
-        for src, dst in cols.items()
-    ]
-    return goc_periods.select(*sel)
+def _snapshot(goc_periods: DataFrame) -> DataFrame:
+    return goc_periods.select(
+        "goc_id", "reporting_date",
+        *[(money(F.col(src)) if src in _MONEY_COLS else F.col(src)).alias(dst) for src, dst in _SNAPSHOT.items()])
 
 
 def _out(step: str, proxy, cf, csm, lc, state) -> F.Column:
@@ -93,78 +90,64 @@ def treaty_bs_state(
     step = F.col("aoc_step")
     is_init, is_var = step == S.INIT_RECOG, step == S.VARIANCE
     zero = F.lit(0)
+    pidx = period_index(F.col("reporting_date"))
 
-    ev = treaty_movement.filter(step.isin(*S.INPUT_STEPS)).select(
-        "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "amount",
-        aoc_order(step).alias("aoc_order"),
-        period_index(F.col("reporting_date")).alias("period_idx"),
-    )
-
-    # -- one exchange on treaty_id: running cumulative and the previous VARIANCE
+    # -- one exchange on treaty_id: running cumulative, period total, previous VARIANCE quarter
     by_treaty = Window.partitionBy("treaty_id").orderBy("reporting_date", "aoc_order")
-    before = by_treaty.rowsBetween(Window.unboundedPreceding, -1)
-    ev = (
-        ev.withColumn("cum", F.sum("amount").over(by_treaty.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_pv", F.last(F.when(is_var, F.struct(
-            F.col("period_idx").alias("idx"), F.col("cum").alias("cum"))), ignorenulls=True).over(before))
-        .withColumn("prev_var_cum", F.when(
-            is_var & (F.col("_pv.idx") == F.col("period_idx") - 1), F.col("_pv.cum")))
-        .withColumn("_prev_idx", F.col("period_idx") - 1)
-        .drop("_pv")
+    by_date = Window.partitionBy("treaty_id", "reporting_date")
+    ev = treaty_movement.filter(step.isin(*S.INPUT_STEPS)).withColumn("aoc_order", aoc_order(step))
+    ev = ev.select(
+        "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order",
+        "amount",
+        F.sum("amount").over(by_treaty.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
+        F.sum("amount").over(by_date).alias("period_cf"),
+        (pidx - F.last(F.when(is_var, pidx), ignorenulls=True)
+         .over(by_treaty.rowsBetween(Window.unboundedPreceding, -1))).alias("var_gap"),
+        F.max((is_init & (F.col("reporting_quarter") == 1)).cast("int")).over(by_date).alias("init_q1_at_date"),
     )
 
-    # -- GoC values: same date and previous quarter (size-checked broadcasts)
-    join = dict(small_rows=goc_period_rows, max_rows=params.broadcast_max_rows,
-                salt_buckets=params.salt_buckets, salt_key="treaty_id")
-    cur = _snapshot(goc_periods, _CUR, "reporting_date").withColumnRenamed("_k", "reporting_date")
-    prev = _snapshot(goc_periods, _PREV, "period_idx").withColumnRenamed("_k", "_prev_idx")
-    ev = bounded_broadcast_join(ev, cur, ["goc_id", "reporting_date"], "left", **join)
-    ev = bounded_broadcast_join(ev, prev, ["goc_id", "_prev_idx"], "left", **join)
+    # -- GoC values of the same date (size-checked broadcast keeps the treaty partitioning)
+    ev = bounded_broadcast_join(
+        ev, _snapshot(goc_periods), ["goc_id", "reporting_date"], "left",
+        small_rows=goc_period_rows, max_rows=params.broadcast_max_rows,
+        salt_buckets=params.salt_buckets, salt_key="treaty_id")
 
     g_has_var = F.coalesce(F.col("g_has_var"), F.lit(False))
     g_has_init = F.coalesce(F.col("g_has_init"), F.lit(False))
-    profitable_now = F.col("g_var_state") == S.PROFITABLE
-
-    # movement row (INIT_RECOG / VARIANCE pushed down pro rata)
     has_move = g_has_var & (is_var | g_has_init)
     step_cf = F.when(is_init, F.col("g_init_cf")).otherwise(F.col("g_var_cf"))
     step_csm = F.when(is_init, F.col("g_init_csm")).otherwise(F.col("g_var_csm"))
     step_lc = F.when(is_init, F.col("g_init_lc")).otherwise(F.col("g_var_lc"))
-    move_proxy = F.when(profitable_now & (F.col("g_var_cum") != 0),
+    move_proxy = F.when((F.col("g_var_state") == S.PROFITABLE) & (F.col("g_var_cum") != 0),
                         pro_rata(F.col("g_var_csm"), F.col("cum"), F.col("g_var_cum"))).otherwise(zero)
-    move_csm = pro_rata(step_csm, F.col("amount"), step_cf)
-    move_lc = pro_rata(step_lc, F.col("amount"), step_cf)
-
-    # roll-forward OPENING (VARIANCE rows) and first OPENING (INIT_RECOG in quarter 1)
-    pc = F.col("prev_var_cum")
-    has_roll = F.col("prev_var_cum").isNotNull() & F.coalesce(F.col("p_has_var"), F.lit(False))
+    # previous VARIANCE cumulative = everything before this quarter (VARIANCE closes its quarter)
+    prev_var_cum = F.col("cum") - F.col("period_cf")
+    has_roll = is_var & (F.col("var_gap") == 1) & F.coalesce(F.col("p_closed"), F.lit(False))
     roll_proxy = F.when((F.col("p_state") == S.PROFITABLE) & (F.col("p_cum") != 0),
-                        pro_rata(F.col("p_csm"), pc, F.col("p_cum"))).otherwise(zero)
-    by_date = Window.partitionBy("treaty_id", "reporting_date")
-
+                        pro_rata(F.col("p_csm"), prev_var_cum, F.col("p_cum"))).otherwise(zero)
     ev = ev.select(
         "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "amount",
-        "g_var_state",
+        "g_var_state", "init_q1_at_date",
         has_move.alias("has_move"), move_proxy.alias("move_proxy"),
-        move_csm.alias("move_csm"), move_lc.alias("move_lc"),
-        has_roll.alias("has_roll"), pc.alias("roll_cf"), roll_proxy.alias("roll_proxy"),
-        F.col("p_state").alias("roll_state"),
+        pro_rata(step_csm, F.col("amount"), step_cf).alias("move_csm"),
+        pro_rata(step_lc, F.col("amount"), step_cf).alias("move_lc"),
+        F.coalesce(has_roll, F.lit(False)).alias("has_roll"), prev_var_cum.alias("roll_cf"),
+        roll_proxy.alias("roll_proxy"), F.col("p_state").alias("roll_state"),
     )
-    # one OPENING per treaty x date: the roll-forward one wins over a first one
-    ev = ev.withColumn("_roll_at_date", F.max(F.col("has_roll").cast("int")).over(by_date))
-    ev = ev.withColumn("has_first", is_init & (F.col("reporting_quarter") == 1)
-                       & (F.col("_roll_at_date") == 0))
-    ev = ev.withColumn("_first_at_date", F.max(F.col("has_first").cast("int")).over(by_date))
 
-    # CSM release
+    # -- OPENING choice and CSM release (one OPENING per treaty x date; roll-forward wins)
+    roll_at_date = F.max(F.col("has_roll").cast("int")).over(by_date) == 1
+    first_at_date = (F.col("init_q1_at_date") == 1) & ~roll_at_date
     ratio = release_ratio(F.col("reporting_quarter"), params.release_ratios)
-    opening_proxy = F.when(F.col("has_roll"), F.col("roll_proxy")).otherwise(zero)
-    ev = ev.withColumn("has_release", is_var & F.col("has_move") & ratio.isNotNull()
-                       & (F.col("has_roll") | (F.col("_first_at_date") == 1)))
-    ev = ev.withColumn("open_proxy", opening_proxy)
-    ev = ev.withColumn("rel_csm", F.when(
-        (F.col("g_var_state") == S.PROFITABLE) & (F.col("open_proxy") < 0),
-        precise(F.abs(F.col("open_proxy")) * ratio)).otherwise(precise(zero)))
+    open_proxy = F.when(F.col("has_roll"), F.col("roll_proxy")).otherwise(zero)
+    ev = ev.select(
+        "*",
+        (is_init & first_at_date).alias("has_first"),
+        (is_var & F.col("has_move") & ratio.isNotNull() & (F.col("has_roll") | first_at_date)).alias("has_release"),
+        open_proxy.alias("open_proxy"),
+        F.when((F.col("g_var_state") == S.PROFITABLE) & (open_proxy < 0),
+               precise(F.abs(open_proxy) * ratio)).otherwise(precise(zero)).alias("rel_csm"),
+    )
 
     # -- CLOSING: per treaty x date sums over the rows above (same partitioning)
     roll_cf = F.when(F.col("has_roll"), F.col("roll_cf")).otherwise(zero)
@@ -176,7 +159,7 @@ def treaty_bs_state(
         + F.when(F.col("has_release"), F.col("rel_csm")).otherwise(zero)
     lc_part = roll_lc + F.when(mv, F.col("move_lc")).otherwise(zero)
     any_part = (F.col("has_roll") | F.col("has_first") | mv | F.col("has_release")).cast("int")
-    var_move = (F.col("aoc_step") == S.VARIANCE) & mv
+    var_move = is_var & mv
     ev = ev.select(
         "*",
         F.sum(cf_part).over(by_date).alias("c_cf"),
@@ -185,10 +168,9 @@ def treaty_bs_state(
         F.max(F.when(var_move, F.col("move_proxy"))).over(by_date).alias("c_proxy"),
         F.max(F.when(var_move, F.col("g_var_state"))).over(by_date).alias("c_state"),
         F.max(any_part).over(by_date).alias("c_any"),
-        F.max((F.col("aoc_step") == S.VARIANCE).cast("int")).over(by_date).alias("c_has_var"),
+        F.max(is_var.cast("int")).over(by_date).alias("c_has_var"),
     )
-    emits_closing = (F.col("c_any") == 1) & (
-        (F.col("aoc_step") == S.VARIANCE) | (F.col("c_has_var") == 0))
+    emits_closing = (F.col("c_any") == 1) & (is_var | (F.col("c_has_var") == 0))
 
     null_state = F.lit(None).cast("string")
     rows = F.array(
@@ -197,8 +179,8 @@ def treaty_bs_state(
                                        csm_balance(F.col("roll_cf")), lc_balance(F.col("roll_cf")),
                                        F.col("roll_state"))),
         F.when(mv, F.struct(
-            F.col("aoc_step").alias("aoc_step"),
-            aoc_order(F.col("aoc_step")).alias("aoc_order"),
+            step.alias("aoc_step"),
+            aoc_order(step).alias("aoc_order"),
             precise(F.col("move_proxy")).alias("treaty_csm_proxy"),
             precise(F.col("amount")).alias("cf_amount"),
             precise(F.col("move_csm")).alias("csm_amount"),

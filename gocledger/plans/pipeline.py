@@ -3,9 +3,11 @@ validators and data tests, as one lazily composed set of DataFrames.
 
 Every model is a ``cached_property`` building a DataFrame from its parents, so
 Catalyst sees (and optimises) the whole lineage of whatever is asked for.
-Two nodes are materialised with a reliable checkpoint (shared folder from
-``spark.checkpoint.dir``):
+Nodes read by several consumers are written once as parquet into the shared
+folder named by ``spark.checkpoint.dir`` (a reliable lineage cut):
 
+* the treaty cashflow movements (M1) — read by the GoC state and by the treaty
+  ledger, so the cashflow source is scanned once, not twice;
 * the wide GoC state — tiny (GoCs x periods), read by every treaty row; its row
   count, taken from the materialised table, decides whether it is broadcast;
 * optionally the treaty ledger (``materialize_treaty=True``) — the one large
@@ -102,10 +104,17 @@ class Ledger:
     def int_goc_quarterly_movement(self) -> DataFrame:
         return movement.goc_quarterly_movement(self.int_treaty_quarterly_movement, self.stg_goc_master)
 
+    @cached_property
+    def treaty_movement_table(self) -> DataFrame:
+        """M1 written once: both the GoC state and the treaty ledger read it, so
+        the cashflow source (``lineitem`` in the binding) is scanned once per run."""
+        return cut_lineage(self.int_treaty_quarterly_movement, "treaty_movement")
+
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
     def goc_periods(self) -> DataFrame:
-        return cut_lineage(goc_state.goc_periods(self.int_goc_quarterly_movement), "goc_periods")
+        m2 = movement.goc_quarterly_movement(self.treaty_movement_table, self.stg_goc_master)
+        return cut_lineage(goc_state.goc_periods(m2), "goc_periods")
 
     @cached_property
     def goc_period_rows(self) -> int:
@@ -119,7 +128,7 @@ class Ledger:
     @cached_property
     def int_treaty_bs_state(self) -> DataFrame:
         df = treaty_state.treaty_bs_state(
-            self.int_treaty_quarterly_movement, self.goc_periods, self.goc_period_rows, self.params)
+            self.treaty_movement_table, self.goc_periods, self.goc_period_rows, self.params)
         return cut_lineage(df, "treaty_bs_state") if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------

@@ -23,6 +23,7 @@ rows by the schema's definition) and are broadcast.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,12 +134,31 @@ def assumption_version(spark: SparkSession, year: int = MEASUREMENT_YEAR) -> Dat
     )
 
 
-def bind(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> dict[str, DataFrame]:
+class _LazyTables(Mapping):
+    """name -> DataFrame, each built on first access (unused inputs cost nothing)."""
+
+    def __init__(self, factories: dict) -> None:
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
+
+
+def bind(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> Mapping[str, DataFrame]:
     """All five raw inputs as lazy DataFrames."""
-    return {
-        "goc_master": goc_master(spark, sf_dir),
-        "treaty_master": treaty_master(spark, sf_dir, year),
-        "retro_link": retro_link(spark, sf_dir, year),
-        "cashflow_input": cashflow_input(spark, sf_dir, year),
-        "assumption_version": assumption_version(spark, year),
-    }
+    return _LazyTables({
+        "goc_master": lambda: goc_master(spark, sf_dir),
+        "treaty_master": lambda: treaty_master(spark, sf_dir, year),
+        "retro_link": lambda: retro_link(spark, sf_dir, year),
+        "cashflow_input": lambda: cashflow_input(spark, sf_dir, year),
+        "assumption_version": lambda: assumption_version(spark, year),
+    })
