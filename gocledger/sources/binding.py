@@ -78,8 +78,8 @@ def _regions_used(spark: SparkSession, sf_dir: str, supp_nat: DataFrame) -> Data
     return used.join(F.broadcast(region), used.n_regionkey == region.r_regionkey, "inner")
 
 
-def goc_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supp_nat = _suppliers_with_nation(spark, sf_dir)
+def goc_master(spark: SparkSession, sf_dir: str, supp_nat: DataFrame | None = None) -> DataFrame:
+    supp_nat = supp_nat if supp_nat is not None else _suppliers_with_nation(spark, sf_dir)
     nations = supp_nat.select("n_nationkey", "n_name").distinct()
     assumed = nations.select(
         F.concat(F.lit("GOC_N"), F.col("n_nationkey").cast("string")).alias("goc_id"),
@@ -97,8 +97,9 @@ def goc_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assumed.unionByName(retro)
 
 
-def treaty_master(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> DataFrame:
-    supp_nat = _suppliers_with_nation(spark, sf_dir)
+def treaty_master(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR,
+                  supp_nat: DataFrame | None = None) -> DataFrame:
+    supp_nat = supp_nat if supp_nat is not None else _suppliers_with_nation(spark, sf_dir)
     inception = F.lit(dt.date(year, 1, 1))
     assumed = supp_nat.select(
         F.concat(F.lit("TRT_S"), F.col("s_suppkey").cast("string")).alias("treaty_id"),
@@ -115,8 +116,9 @@ def treaty_master(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR
     return assumed.unionByName(retro)
 
 
-def retro_link(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> DataFrame:
-    supp_nat = _suppliers_with_nation(spark, sf_dir)
+def retro_link(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR,
+               supp_nat: DataFrame | None = None) -> DataFrame:
+    supp_nat = supp_nat if supp_nat is not None else _suppliers_with_nation(spark, sf_dir)
     rate = F.lit(Decimal("0.25")) + F.lit(Decimal("0.05")) * F.col("n_regionkey")
     return supp_nat.select(
         F.concat(F.lit("TRT_S"), F.col("s_suppkey").cast("string")).alias("assumed_treaty_id"),
@@ -154,11 +156,19 @@ class _LazyTables(Mapping):
 
 
 def bind(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> Mapping[str, DataFrame]:
-    """All five raw inputs as lazy DataFrames."""
+    """All five raw inputs as lazy DataFrames (the supplier x nation frame is
+    shared by the three master tables)."""
+    shared: dict[str, DataFrame] = {}
+
+    def supp_nat() -> DataFrame:
+        if "supp_nat" not in shared:
+            shared["supp_nat"] = _suppliers_with_nation(spark, sf_dir)
+        return shared["supp_nat"]
+
     return _LazyTables({
-        "goc_master": lambda: goc_master(spark, sf_dir),
-        "treaty_master": lambda: treaty_master(spark, sf_dir, year),
-        "retro_link": lambda: retro_link(spark, sf_dir, year),
+        "goc_master": lambda: goc_master(spark, sf_dir, supp_nat()),
+        "treaty_master": lambda: treaty_master(spark, sf_dir, year, supp_nat()),
+        "retro_link": lambda: retro_link(spark, sf_dir, year, supp_nat()),
         "cashflow_input": lambda: cashflow_input(spark, sf_dir, year),
         "assumption_version": lambda: assumption_version(spark, year),
     })

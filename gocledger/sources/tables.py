@@ -10,10 +10,29 @@ from pyspark.sql import functions as F
 from gocledger import schema as S
 
 
+# ---------------------------------------------------------------------------
+# Types of the driver-table columns the binding reads
+# ---------------------------------------------------------------------------
+DRIVER_COLUMN_TYPES = {
+    "lineitem": {"l_suppkey": "bigint", "l_extendedprice": "double", "l_returnflag": "string",
+                 "l_shipdate": "timestamp_ntz"},
+    "supplier": {"s_suppkey": "bigint", "s_nationkey": "int"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "region": {"r_regionkey": "int", "r_name": "string"},
+}
+
+
 def read_parquet(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Scan ``{sf_dir}/{name}.parquet``; selecting columns right away lets the
-    parquet reader prune everything else (ReadSchema shows only these)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan ``{sf_dir}/{name}.parquet`` reading only ``columns``.
+
+    When the column types are declared the read schema is given up front: no
+    footer-reading job to infer it, and the scan's ReadSchema is exactly these
+    columns.  Otherwise the schema is inferred and the columns selected."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = DRIVER_COLUMN_TYPES.get(name, {})
+    if columns and all(c in known for c in columns):
+        return spark.read.schema(", ".join(f"{c} {known[c]}" for c in columns)).parquet(path)
+    df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
