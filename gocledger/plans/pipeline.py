@@ -35,7 +35,7 @@ from gocledger.operators import (
 )
 from gocledger.params import LedgerParams
 from gocledger.session import cut_lineage
-from gocledger.sources import binding, fixture
+from gocledger.sources import binding, fixture, sinks
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
 
@@ -236,6 +236,33 @@ class Ledger:
         names = {t.model for t in tests} | {t.parent for t in tests if t.parent}
         return quality.run_suite({n: self.model(n) for n in names}, tests)
 
+    # -- publish (S3, S5, S6) ----------------------------------------------------
+    LAYERS = {
+        "stg": ("stg_goc_master", "stg_treaty_master", "stg_retro_link", "stg_cashflow_input"),
+        "int": ("int_treaty_quarterly_movement", "int_goc_quarterly_movement", "int_goc_bs_state",
+                "int_treaty_bs_state", "int_retro_quarterly_movement", "int_retro_bs_state"),
+        "val": (*validate.VALIDATORS, "val_summary"),
+        "mart": ("mart_goc_aoc_quarterly", "mart_treaty_aoc_quarterly", "mart_goc_annual_summary",
+                 "mart_annual_aoc_detail", "mart_pnl_quarterly"),
+    }
+
+    def publish(self, base: str, partition_by: dict[str, tuple[str, ...]] | None = None) -> dict[str, str]:
+        """Write every model as a parquet table under ``base/<layer>/<model>``
+        (full overwrite), layer by layer.  Each written table replaces the model
+        for its downstream readers, so every model is computed exactly once and
+        lineage is cut at published tables.  Large ledgers are partitioned by
+        ``reporting_date``."""
+        parts = sinks.LEDGER_PARTITIONING if partition_by is None else partition_by
+        written: dict[str, str] = {}
+        for layer, names in self.LAYERS.items():
+            for name in names:
+                df = self.model(name)
+                path = f"{base.rstrip('/')}/{layer}/{name}"
+                sinks.write_table(df, path, partition_by=parts.get(name, ()))
+                self.__dict__[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+                written[name] = path
+        return written
+
     # -- lookup ----------------------------------------------------------------
     MODELS = (
         "stg_goc_master", "stg_treaty_master", "stg_retro_link", "stg_cashflow_input",

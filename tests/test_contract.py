@@ -36,3 +36,16 @@ def test_driver_queries_match_oracle_sf0001(spark):
              "mart_pnl_quarterly", "val_treaty_goc_reconciliation", "verify_cumulative_state"]
     res = compare(spark, "/root/testdata/sf0.001", names, verbose=False)
     assert {k: v[0] for k, v in res.items()} == {k: "ok" for k in names}
+
+
+def test_publish_all_layers(spark):
+    from gocledger.plans.pipeline import Ledger
+    base = tempfile.mkdtemp(prefix="gocledger-publish-")
+    led = Ledger.golden(spark)
+    written = led.publish(base)
+    assert set(written) == {n for names in Ledger.LAYERS.values() for n in names}
+    assert os.path.isdir(os.path.join(base, "int", "int_treaty_bs_state", "reporting_date=2026-06-30"))
+    fresh = Ledger.golden(spark)
+    for name in ("int_treaty_bs_state", "mart_pnl_quarterly", "val_summary", "mart_goc_annual_summary"):
+        back = spark.read.parquet(written[name]).select(*fresh.model(name).columns)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, fresh.model(name).collect())), name

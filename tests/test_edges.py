@@ -85,11 +85,13 @@ def test_break_even_oracle_and_validators(spark, break_even):
 def mixed(spark):
     return make_ledger(
         spark,
-        gocs=[("GOC_M", "ASSUMED", "PROFITABLE")],
-        treaties=[("T_M1", "ASSUMED", "GOC_M"), ("T_M2", "ASSUMED", "GOC_M"), ("T_M3", "ASSUMED", "GOC_M")],
+        gocs=[("GOC_M", "ASSUMED", "PROFITABLE"), ("GOC_MR", "RETRO", "PROFITABLE")],
+        treaties=[("T_M1", "ASSUMED", "GOC_M"), ("T_M2", "ASSUMED", "GOC_M"), ("T_M3", "ASSUMED", "GOC_M"),
+                  ("T_MR", "RETRO", "GOC_MR")],
         cashflows=cf("T_M1", 5000, {1: -2000, 2: 100, 3: -7000, 4: 10})
         + cf("T_M2", -3000, {1: 2000, 2: 200, 3: 1000, 4: 20})
         + cf("T_M3", 1000.05, {1: 0, 2: -300, 3: 333.33, 4: -30}),
+        links=[("T_M1", "T_MR", "0.35"), ("T_M2", "T_MR", "0.35"), ("T_M3", "T_MR", "0.10")],
     )
 
 
@@ -190,6 +192,8 @@ def test_retro_links_many_and_none(spark):
 def test_salted_fallback_equals_broadcast(spark, mixed):
     from gocledger.params import LedgerParams
     salted = Ledger(spark, mixed.raw, params=LedgerParams(broadcast_max_rows=0, salt_buckets=4))
-    cols = salted.int_treaty_bs_state.columns
-    assert sorted(map(tuple, salted.int_treaty_bs_state.collect())) == \
-        sorted(map(tuple, mixed.int_treaty_bs_state.select(*cols).collect()))
+    for name in ("int_treaty_bs_state", "int_retro_quarterly_movement"):
+        cols = salted.model(name).columns
+        assert sorted(map(tuple, salted.model(name).collect())) == \
+            sorted(map(tuple, mixed.model(name).select(*cols).collect())), name
+    assert "pmod(hash(treaty_id" in salted.int_treaty_bs_state._jdf.queryExecution().executedPlan().toString()
