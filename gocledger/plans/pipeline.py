@@ -17,6 +17,7 @@ folder named by ``spark.checkpoint.dir`` (a reliable lineage cut):
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ from gocledger.operators import (
     validate,
 )
 from gocledger.params import LedgerParams
-from gocledger.session import cut_lineage
+from gocledger.session import cut_lineage, ensure_checkpoint_dir
 from gocledger.sources import binding, fixture, sinks
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
@@ -263,6 +264,12 @@ class Ledger:
                 written[name] = path
         return written
 
+    def materialize_all(self) -> dict[str, str]:
+        """Publish every model into the shared checkpoint folder (a run-scoped
+        lineage cut for jobs that read many models, e.g. the data-test suite)."""
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        return self.publish(f"{base}/gocledger/run-{uuid.uuid4().hex}")
+
     # -- lookup ----------------------------------------------------------------
     MODELS = (
         "stg_goc_master", "stg_treaty_master", "stg_retro_link", "stg_cashflow_input",
