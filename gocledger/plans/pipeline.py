@@ -35,7 +35,7 @@ from gocledger.operators import (
     validate,
 )
 from gocledger.params import LedgerParams
-from gocledger.session import cut_lineage, ensure_checkpoint_dir
+from gocledger.session import cut_lineage, cut_lineage_counted, ensure_checkpoint_dir
 from gocledger.sources import binding, fixture, sinks
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
@@ -113,13 +113,17 @@ class Ledger:
 
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
-    def goc_periods(self) -> DataFrame:
+    def _goc_periods_counted(self) -> tuple[DataFrame, int]:
         m2 = movement.goc_quarterly_movement(self.treaty_movement_table, self.stg_goc_master)
-        return cut_lineage(goc_state.goc_periods(m2), "goc_periods")
+        return cut_lineage_counted(goc_state.goc_periods(m2), "goc_periods")
+
+    @cached_property
+    def goc_periods(self) -> DataFrame:
+        return self._goc_periods_counted[0]
 
     @cached_property
     def goc_period_rows(self) -> int:
-        return self.goc_periods.count()
+        return self._goc_periods_counted[1]
 
     @cached_property
     def int_goc_bs_state(self) -> DataFrame:
@@ -133,13 +137,17 @@ class Ledger:
         return cut_lineage(df, "treaty_bs_state") if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------
+    @cached_property
+    def _retro_treaties_counted(self) -> tuple[DataFrame, int]:
+        return cut_lineage_counted(retro.retro_treaties(self.stg_treaty_master), "retro_treaties")
+
     @cached_property
     def retro_treaties(self) -> DataFrame:
-        return cut_lineage(retro.retro_treaties(self.stg_treaty_master), "retro_treaties")
+        return self._retro_treaties_counted[0]
 
     @cached_property
     def retro_treaty_rows(self) -> int:
-        return self.retro_treaties.count()
+        return self._retro_treaties_counted[1]
 
     @cached_property
     def int_retro_quarterly_movement(self) -> DataFrame:

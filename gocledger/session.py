@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -64,8 +65,15 @@ def cut_lineage(df: DataFrame, name: str = "node") -> DataFrame:
     twice), the result survives executor loss, and the re-read table carries
     real file-size statistics for Catalyst's join planning.
     """
+    return cut_lineage_counted(df, name)[0]
+
+
+def cut_lineage_counted(df: DataFrame, name: str = "node") -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the row count, observed while writing
+    (no second job to count)."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/gocledger/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["n"])
