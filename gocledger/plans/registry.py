@@ -20,13 +20,24 @@ from gocledger.plans.pipeline import Ledger
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _ledger(spark: SparkSession, sf_dir: str) -> Ledger:
-    return Ledger.from_driver(spark, sf_dir)
+# Models whose plan reads the treaty ledger in several branches (release
+# roll-up and retro recovery, or several validators).  Column pruning gives each
+# branch its own projection of the ledger, so Spark cannot reuse one exchange
+# and would shuffle the treaty rows once per branch; writing the ledger once
+# keeps that to a single shuffle at any scale.
+MULTI_READ_TREATY = frozenset({
+    "mart_goc_aoc_quarterly", "mart_goc_annual_summary", "mart_annual_aoc_detail", "mart_pnl_quarterly",
+    "val_summary",
+})
+
+
+def _ledger(spark: SparkSession, sf_dir: str, materialize_treaty: bool = False) -> Ledger:
+    return Ledger.from_driver(spark, sf_dir, materialize_treaty=materialize_treaty)
 
 
 def _model(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _ledger(spark, sf_dir).model(name)
+        return _ledger(spark, sf_dir, materialize_treaty=name in MULTI_READ_TREATY).model(name)
     q.__name__ = name
     return q
 
