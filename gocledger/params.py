@@ -30,5 +30,5 @@ class LedgerParams:
 
     release_ratios: dict[int, Decimal] = field(default_factory=_default_ratios)
     tolerance: Decimal = Decimal("0.01")
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 200_000
     salt_buckets: int = 64

@@ -8,13 +8,14 @@ model it names over them in full; the SQL oracle for the same names lives in
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gocledger import schema as S
 from gocledger.functions import money, state_of
-from gocledger.operators import quality, treaty_state
+from gocledger.operators import quality, treaty_state, validate
 from gocledger.plans.pipeline import Ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,4 +139,67 @@ def queries() -> dict[str, Query]:
     q["dq_accepted_values"] = dq_accepted_values
     q["dq_relationships"] = dq_relationships
     q["dq_unique_combination"] = dq_unique_combination
+    q.update(FAULTED)
     return q
+
+
+# ---------------------------------------------------------------------------
+# Validators on deliberately corrupted ledgers.  On clean data the validators
+# return no rows, so a match with the oracle would prove little; each key
+# below shifts amounts on a data-defined set of rows and runs the unchanged
+# validator, so both sides must flag exactly the same rows.
+# ---------------------------------------------------------------------------
+def _shift(df: DataFrame, col: str, cond, delta: str) -> DataFrame:
+    return df.withColumn(col, F.when(cond, money(F.col(col) + F.lit(Decimal(delta)))).otherwise(F.col(col)))
+
+
+def _faulted_goc(led: Ledger) -> DataFrame:
+    g = led.int_goc_bs_state
+    return _shift(g, "csm_amount", (F.col("aoc_step") == S.CLOSING) & (F.col("cf_cumulative") < 0), "-1.00")
+
+
+def val_bs_invariants_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.val_bs_invariants(_faulted_goc(_ledger(spark, sf_dir)))
+
+
+def val_profitability_consistency_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.val_profitability_consistency(_faulted_goc(_ledger(spark, sf_dir)))
+
+
+def val_rollforward_continuity_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _ledger(spark, sf_dir).int_goc_bs_state
+    g = _shift(g, "lc_amount", (F.col("aoc_step") == S.OPENING) & (F.col("cf_cumulative") < 0), "-0.50")
+    return validate.val_rollforward_continuity(g)
+
+
+def val_retro_recovery_identity_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rm = _ledger(spark, sf_dir).int_retro_quarterly_movement
+    rm = rm.withColumn("lrc_amount", F.when(F.col("aoc_step") == S.INIT_RECOG,
+                                            (F.col("lrc_amount") + F.lit(Decimal("0.05"))).cast("decimal(24,4)"))
+                       .otherwise(F.col("lrc_amount")))
+    return validate.val_retro_recovery_identity(rm)
+
+
+def val_release_timing_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _ledger(spark, sf_dir).int_treaty_bs_state
+    t = _shift(t, "cf_amount", (F.col("aoc_step") == S.CSM_RELEASE) & (F.col("profitability_state") == S.ONEROUS),
+               "1.00")
+    return validate.val_release_timing(t)
+
+
+def val_retro_no_double_recovery_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rm = _ledger(spark, sf_dir).int_retro_quarterly_movement
+    rm = rm.withColumn("lrc_amount", F.when(F.col("aoc_step") == S.VARIANCE,
+                                            (F.col("lrc_amount") * 2).cast("decimal(24,4)"))
+                       .otherwise(F.col("lrc_amount")))
+    return validate.val_retro_no_double_recovery(rm)
+
+
+FAULTED = {
+    "val_bs_invariants_faulted": val_bs_invariants_faulted,
+    "val_profitability_consistency_faulted": val_profitability_consistency_faulted,
+    "val_rollforward_continuity_faulted": val_rollforward_continuity_faulted,
+    "val_retro_recovery_identity_faulted": val_retro_recovery_identity_faulted,
+    "val_release_timing_faulted": val_release_timing_faulted,
+    "val_retro_no_double_recovery_faulted": val_retro_no_double_recovery_faulted,
+}
