@@ -21,8 +21,11 @@ def spark():
 
 @pytest.fixture(scope="session")
 def golden(spark):
+    """The golden-scenario ledger with every model written once (publish path)."""
     from gocledger.plans.pipeline import Ledger
-    return Ledger.golden(spark)
+    led = Ledger.golden(spark)
+    led.materialize_all()
+    return led
 
 
 def rows(df, *cols, order=None):
