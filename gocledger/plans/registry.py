@@ -76,6 +76,59 @@ def goc_state_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
                     money(F.col("var_lc")).alias("lc_amount"))
 
 
+def _goc_variance_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
+
+
+def goc_cumulative_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative including the quarter's VARIANCE."""
+    return _goc_variance_periods(spark, sf_dir).select(
+        "goc_id", "reporting_date", money(F.col("var_cum")).alias("cumulative_after"))
+
+
+def goc_cumulative_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative just before the quarter's VARIANCE."""
+    return _goc_variance_periods(spark, sf_dir).select(
+        "goc_id", "reporting_date", money(F.col("var_cum") - F.col("var_cf")).alias("cumulative_before"))
+
+
+def goc_state_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State before and after each VARIANCE."""
+    return _goc_variance_periods(spark, sf_dir).select(
+        "goc_id", "reporting_date", state_of(F.col("var_cum") - F.col("var_cf")).alias("prev_state"),
+        F.col("var_state").alias("profitability_state"))
+
+
+def goc_csm_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSM movement of each VARIANCE transition."""
+    return _goc_variance_periods(spark, sf_dir).select(
+        "goc_id", "reporting_date", state_of(F.col("var_cum") - F.col("var_cf")).alias("prev_state"),
+        F.col("var_state").alias("profitability_state"), money(F.col("var_csm")).alias("csm_amount"))
+
+
+def goc_lc_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LC movement of each VARIANCE transition."""
+    return _goc_variance_periods(spark, sf_dir).select(
+        "goc_id", "reporting_date", state_of(F.col("var_cum") - F.col("var_cf")).alias("prev_state"),
+        F.col("var_state").alias("profitability_state"), money(F.col("var_lc")).alias("lc_amount"))
+
+
+def _goc_snapshot(step: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The GoC values the treaty push-down reads."""
+        g = _ledger(spark, sf_dir).int_goc_bs_state.filter(F.col("aoc_step") == step)
+        return g.select("goc_id", "reporting_date", "reporting_quarter",
+                        F.col("cf_cumulative").alias("goc_cf_cumulative"), F.col("csm_amount").alias("goc_csm"),
+                        "profitability_state")
+    return q
+
+
+def treaty_csm_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The treaty CSM proxy of every ledger row."""
+    return _ledger(spark, sf_dir).int_treaty_bs_state.select(
+        "treaty_id", "reporting_date", "aoc_step", "treaty_csm_proxy")
+
+
 def treaty_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treaty_state.treaty_cumulative(_ledger(spark, sf_dir).int_treaty_quarterly_movement)
 
@@ -126,6 +179,14 @@ def queries() -> dict[str, Query]:
     q["goc_state_transition"] = goc_state_transition
     q["goc_opening"] = _step_filter("int_goc_bs_state", S.OPENING)
     q["goc_closing"] = _step_filter("int_goc_bs_state", S.CLOSING)
+    q["goc_cumulative_after"] = goc_cumulative_after
+    q["goc_cumulative_before"] = goc_cumulative_before
+    q["goc_state_classification"] = goc_state_classification
+    q["goc_csm_allocation"] = goc_csm_allocation
+    q["goc_lc_allocation"] = goc_lc_allocation
+    q["goc_at_variance"] = _goc_snapshot(S.VARIANCE)
+    q["goc_at_closing"] = _goc_snapshot(S.CLOSING)
+    q["treaty_csm_proxy"] = treaty_csm_proxy
     q["treaty_cumulative"] = treaty_cumulative
     q["treaty_opening"] = _step_filter("int_treaty_bs_state", S.OPENING)
     q["treaty_movement_allocation"] = _step_filter("int_treaty_bs_state", S.INIT_RECOG, S.VARIANCE)
