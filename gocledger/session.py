@@ -33,28 +33,29 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure reliable checkpoints have a shared directory.
+    """The shared folder for lineage cuts.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    is used as is.  Only a local-mode session (tests, bench) without the setting
-    gets a fresh scratch folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``; that value is used as is.
+    Only a local-mode session (tests, bench) without the setting gets a fresh
+    scratch folder of its own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
-    if configured:
+    configured = spark.conf.get(_CKPT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir() or sc.getConf().get(_CKPT_KEY, None)
+    if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError(
+                f"{_CKPT_KEY} is not set: a cluster run needs a shared checkpoint folder")
+        configured = tempfile.mkdtemp(prefix="gocledger-ckpt-")
+        spark.conf.set(_CKPT_KEY, configured)
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            f"{_CKPT_KEY} is not set: a cluster run needs a shared checkpoint folder"
-        )
-    path = tempfile.mkdtemp(prefix="gocledger-ckpt-")
-    spark.conf.set(_CKPT_KEY, path)
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    return configured
 
 
 def cut_lineage(df: DataFrame, name: str = "node") -> DataFrame:
