@@ -69,3 +69,23 @@ def test_order_and_partitioning_invariance(spark):
         a = sorted(map(tuple, base.model(name).collect()))
         b = sorted(map(tuple, other.model(name).select(*base.model(name).columns).collect()))
         assert a == b, name
+
+
+def _pro_rata_gaps(led):
+    from pyspark.sql import functions as F
+    t = led.int_treaty_bs_state.filter(F.col("aoc_step").isin(S.INIT_RECOG, S.VARIANCE)).groupBy(
+        "goc_id", "reporting_date", "aoc_step").agg(
+        F.sum("csm_amount").alias("t_csm"), F.sum("lc_amount").alias("t_lc"), F.count(F.lit(1)).alias("n"))
+    g = led.int_goc_bs_state.select("goc_id", "reporting_date", "aoc_step", "csm_amount", "lc_amount")
+    j = t.join(g, ["goc_id", "reporting_date", "aoc_step"])
+    return [(r.n, abs(r.t_csm - r.csm_amount), abs(r.t_lc - r.lc_amount)) for r in j.collect()]
+
+
+@pytest.mark.parametrize("source", ["random", "driver"])
+def test_treaty_movements_add_up_to_goc(spark, source):
+    led = Ledger(spark, random_raw(spark, 5)) if source == "random" else \
+        Ledger.from_driver(spark, "/root/testdata/sf0.001")
+    gaps = _pro_rata_gaps(led)
+    assert gaps
+    for n, d_csm, d_lc in gaps:
+        assert d_csm <= D("0.005") * n and d_lc <= D("0.005") * n
