@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     if args.command == "run":
         led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True)
-        for name, path in led.publish(args.out).items():
+        for name, path in led.publish(args.out, release_scratch=True).items():
             print(f"{name}\t{path}")
         return 0
 

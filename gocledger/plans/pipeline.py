@@ -35,7 +35,7 @@ from gocledger.operators import (
     validate,
 )
 from gocledger.params import LedgerParams
-from gocledger.session import cut_lineage, cut_lineage_counted, ensure_checkpoint_dir
+from gocledger.session import cut_lineage, cut_lineage_counted, ensure_checkpoint_dir, remove_path
 from gocledger.sources import binding, fixture, sinks
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
@@ -51,6 +51,8 @@ class Ledger:
     ) -> None:
         self.spark = spark
         self.raw = raw
+        self.scratch: list[str] = []       # lineage-cut tables this ledger wrote
+        self.raw_scratch: list[str] = []   # materialised raw inputs (kept while ``raw`` reads them)
         self.params = params or LedgerParams()
         self._expectations = expectations
         self.materialize_treaty = materialize_treaty
@@ -62,9 +64,12 @@ class Ledger:
         bound raw tables once (as a production load would) so that many
         consumers read them instead of re-deriving them from ``lineitem``."""
         raw = binding.bind(spark, sf_dir)
+        written: list[str] = []
         if materialize_raw:
-            raw = {name: cut_lineage(df, f"raw_{name}") for name, df in raw.items()}
-        return cls(spark, raw, **kw)
+            raw = {name: cut_lineage(df, f"raw_{name}", written) for name, df in raw.items()}
+        led = cls(spark, raw, **kw)
+        led.raw_scratch.extend(written)
+        return led
 
     @classmethod
     def golden(cls, spark: SparkSession, **kw) -> Ledger:
@@ -109,13 +114,13 @@ class Ledger:
     def treaty_movement_table(self) -> DataFrame:
         """M1 written once: both the GoC state and the treaty ledger read it, so
         the cashflow source (``lineitem`` in the binding) is scanned once per run."""
-        return cut_lineage(self.int_treaty_quarterly_movement, "treaty_movement")
+        return cut_lineage(self.int_treaty_quarterly_movement, "treaty_movement", self.scratch)
 
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
     def _goc_periods_counted(self) -> tuple[DataFrame, int]:
         m2 = movement.goc_quarterly_movement(self.treaty_movement_table, self.stg_goc_master)
-        return cut_lineage_counted(goc_state.goc_periods(m2), "goc_periods")
+        return cut_lineage_counted(goc_state.goc_periods(m2), "goc_periods", self.scratch)
 
     @cached_property
     def goc_periods(self) -> DataFrame:
@@ -134,12 +139,12 @@ class Ledger:
     def int_treaty_bs_state(self) -> DataFrame:
         df = treaty_state.treaty_bs_state(
             self.treaty_movement_table, self.goc_periods, self.goc_period_rows, self.params)
-        return cut_lineage(df, "treaty_bs_state") if self.materialize_treaty else df
+        return cut_lineage(df, "treaty_bs_state", self.scratch) if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------
     @cached_property
     def _retro_treaties_counted(self) -> tuple[DataFrame, int]:
-        return cut_lineage_counted(retro.retro_treaties(self.stg_treaty_master), "retro_treaties")
+        return cut_lineage_counted(retro.retro_treaties(self.stg_treaty_master), "retro_treaties", self.scratch)
 
     @cached_property
     def retro_treaties(self) -> DataFrame:
@@ -255,7 +260,8 @@ class Ledger:
                  "mart_annual_aoc_detail", "mart_pnl_quarterly"),
     }
 
-    def publish(self, base: str, partition_by: dict[str, tuple[str, ...]] | None = None) -> dict[str, str]:
+    def publish(self, base: str, partition_by: dict[str, tuple[str, ...]] | None = None,
+                release_scratch: bool = False) -> dict[str, str]:
         """Write every model as a parquet table under ``base/<layer>/<model>``
         (full overwrite), layer by layer.  Each written table replaces the model
         for its downstream readers, so every model is computed exactly once and
@@ -270,8 +276,23 @@ class Ledger:
                 sinks.write_table(df, path, partition_by=parts.get(name, ()))
                 self.__dict__[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
                 written[name] = path
+        if release_scratch:
+            self.release()
         return written
 
+    _SCRATCH_NODES = ("treaty_movement_table", "_goc_periods_counted", "goc_periods", "goc_period_rows",
+                      "_retro_treaties_counted", "retro_treaties", "retro_treaty_rows")
+
+    def release(self) -> None:
+        """Delete the intermediate lineage-cut tables this ledger wrote and
+        forget the nodes built on them (recomputed if asked for again).  The
+        materialised raw inputs (``raw_scratch``) stay: ``raw`` reads them."""
+        for path in self.scratch:
+            remove_path(self.spark, path)
+        self.scratch.clear()
+        for node in self._SCRATCH_NODES:
+            self.__dict__.pop(node, None)
+
     def materialize_all(self) -> dict[str, str]:
         """Publish every model into the shared checkpoint folder (a run-scoped
         lineage cut for jobs that read many models, e.g. the data-test suite)."""

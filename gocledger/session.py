@@ -58,7 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame, name: str = "node") -> DataFrame:
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through the cluster file system (Hadoop API);
+    returns False when the session exposes no JVM (nothing is deleted then)."""
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    except Exception:  # noqa: BLE001
+        return False
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(jsc.hadoopConfiguration()).delete(jpath, True))
+
+
+def cut_lineage(df: DataFrame, name: str = "node", written: list[str] | None = None) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage.
 
     The rows are written once as parquet into the shared checkpoint folder and
@@ -66,15 +77,18 @@ def cut_lineage(df: DataFrame, name: str = "node") -> DataFrame:
     twice), the result survives executor loss, and the re-read table carries
     real file-size statistics for Catalyst's join planning.
     """
-    return cut_lineage_counted(df, name)[0]
+    return cut_lineage_counted(df, name, written)[0]
 
 
-def cut_lineage_counted(df: DataFrame, name: str = "node") -> tuple[DataFrame, int]:
+def cut_lineage_counted(df: DataFrame, name: str = "node",
+                        written: list[str] | None = None) -> tuple[DataFrame, int]:
     """``cut_lineage`` that also returns the row count, observed while writing
-    (no second job to count)."""
+    (no second job to count).  The written path is appended to ``written``."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/gocledger/{name}-{uuid.uuid4().hex}"
+    if written is not None:
+        written.append(path)
     obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path), int(obs.get["n"])
