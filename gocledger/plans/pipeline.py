@@ -48,6 +48,7 @@ class Ledger:
         params: LedgerParams | None = None,
         expectations: DataFrame | None = None,
         materialize_treaty: bool = False,
+        share_movements: bool = True,
     ) -> None:
         self.spark = spark
         self.raw = raw
@@ -56,6 +57,9 @@ class Ledger:
         self.params = params or LedgerParams()
         self._expectations = expectations
         self.materialize_treaty = materialize_treaty
+        # write the treaty movements once when both the GoC state and the treaty
+        # ledger read them; a GoC-only job reads the source a single time anyway
+        self.share_movements = share_movements
 
     # -- constructors ---------------------------------------------------------
     @classmethod
@@ -110,6 +114,10 @@ class Ledger:
     def int_goc_quarterly_movement(self) -> DataFrame:
         return movement.goc_quarterly_movement(self.int_treaty_quarterly_movement, self.stg_goc_master)
 
+    @property
+    def _movements(self) -> DataFrame:
+        return self.treaty_movement_table if self.share_movements else self.int_treaty_quarterly_movement
+
     @cached_property
     def treaty_movement_table(self) -> DataFrame:
         """M1 written once: both the GoC state and the treaty ledger read it, so
@@ -119,7 +127,7 @@ class Ledger:
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
     def _goc_periods_counted(self) -> tuple[DataFrame, int]:
-        m2 = movement.goc_quarterly_movement(self.treaty_movement_table, self.stg_goc_master)
+        m2 = movement.goc_quarterly_movement(self._movements, self.stg_goc_master)
         return cut_lineage_counted(goc_state.goc_periods(m2), "goc_periods", self.scratch)
 
     @cached_property
@@ -138,7 +146,7 @@ class Ledger:
     @cached_property
     def int_treaty_bs_state(self) -> DataFrame:
         df = treaty_state.treaty_bs_state(
-            self.treaty_movement_table, self.goc_periods, self.goc_period_rows, self.params)
+            self._movements, self.goc_periods, self.goc_period_rows, self.params)
         return cut_lineage(df, "treaty_bs_state", self.scratch) if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------

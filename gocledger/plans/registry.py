@@ -32,20 +32,34 @@ MULTI_READ_TREATY = frozenset({
 })
 
 
-def _ledger(spark: SparkSession, sf_dir: str, materialize_treaty: bool = False) -> Ledger:
-    return Ledger.from_driver(spark, sf_dir, materialize_treaty=materialize_treaty)
+# Models that need only the GoC state: the treaty movements are read once by it,
+# so they are not written out first (see ``Ledger.share_movements``).
+GOC_ONLY = frozenset({
+    "int_goc_bs_state", "val_bs_invariants", "val_profitability_consistency", "val_rollforward_continuity",
+    "val_scenario_expectation",
+})
+
+
+def _ledger(spark: SparkSession, sf_dir: str, materialize_treaty: bool = False, goc_only: bool = False) -> Ledger:
+    return Ledger.from_driver(spark, sf_dir, materialize_treaty=materialize_treaty, share_movements=not goc_only)
+
+
+def _goc_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    return _ledger(spark, sf_dir, goc_only=True)
 
 
 def _model(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _ledger(spark, sf_dir, materialize_treaty=name in MULTI_READ_TREATY).model(name)
+        return _ledger(spark, sf_dir, materialize_treaty=name in MULTI_READ_TREATY,
+                       goc_only=name in GOC_ONLY).model(name)
     q.__name__ = name
     return q
 
 
 def _step_filter(model: str, *steps: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _ledger(spark, sf_dir).model(model).filter(F.col("aoc_step").isin(*steps))
+        led = _ledger(spark, sf_dir, goc_only=model in GOC_ONLY)
+        return led.model(model).filter(F.col("aoc_step").isin(*steps))
     return q
 
 
@@ -61,14 +75,14 @@ def aoc_order_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def goc_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
+    p = _goc_ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
     return p.select("goc_id", "reporting_date",
                     money(F.col("var_cum")).alias("cumulative_after"),
                     money(F.col("var_cum") - F.col("var_cf")).alias("cumulative_before"))
 
 
 def goc_state_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
+    p = _goc_ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
     return p.select("goc_id", "reporting_date",
                     state_of(F.col("var_cum") - F.col("var_cf")).alias("prev_state"),
                     F.col("var_state").alias("profitability_state"),
@@ -77,7 +91,7 @@ def goc_state_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _goc_variance_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
+    return _goc_ledger(spark, sf_dir).goc_periods.filter(F.col("has_var"))
 
 
 def goc_cumulative_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +130,7 @@ def goc_lc_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _goc_snapshot(step: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The GoC values the treaty push-down reads."""
-        g = _ledger(spark, sf_dir).int_goc_bs_state.filter(F.col("aoc_step") == step)
+        g = _goc_ledger(spark, sf_dir).int_goc_bs_state.filter(F.col("aoc_step") == step)
         return g.select("goc_id", "reporting_date", "reporting_quarter",
                         F.col("cf_cumulative").alias("goc_cf_cumulative"), F.col("csm_amount").alias("goc_csm"),
                         "profitability_state")
@@ -142,7 +156,7 @@ def dq_test_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_null(_ledger(spark, sf_dir).int_goc_bs_state, "profitability_state")
+    return quality.not_null(_goc_ledger(spark, sf_dir).int_goc_bs_state, "profitability_state")
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,15 +234,15 @@ def _faulted_goc(led: Ledger) -> DataFrame:
 
 
 def val_bs_invariants_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.val_bs_invariants(_faulted_goc(_ledger(spark, sf_dir)))
+    return validate.val_bs_invariants(_faulted_goc(_goc_ledger(spark, sf_dir)))
 
 
 def val_profitability_consistency_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.val_profitability_consistency(_faulted_goc(_ledger(spark, sf_dir)))
+    return validate.val_profitability_consistency(_faulted_goc(_goc_ledger(spark, sf_dir)))
 
 
 def val_rollforward_continuity_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _ledger(spark, sf_dir).int_goc_bs_state
+    g = _goc_ledger(spark, sf_dir).int_goc_bs_state
     g = _shift(g, "lc_amount", (F.col("aoc_step") == S.OPENING) & (F.col("cf_cumulative") < 0), "-0.50")
     return validate.val_rollforward_continuity(g)
 
