@@ -42,27 +42,33 @@ def goc_csm_release(treaty_state: DataFrame) -> DataFrame:
 
 def mart_goc_aoc_quarterly(goc_state: DataFrame, treaty_state: DataFrame, retro_state: DataFrame,
                            stg_goc: DataFrame, ordered: bool = False) -> DataFrame:
-    gocs = stg_goc.select("goc_id", "goc_type", "scenario_description")
-    assumed = goc_state.drop("goc_type").join(gocs, "goc_id", "inner").filter(
-        F.col("goc_type") == S.ASSUMED
-    ).select(
-        "goc_id", "goc_type", "scenario_description", "reporting_date", "reporting_quarter", "aoc_step",
+    """A1-A3: assumed GoC ledger (ASSUMED GoCs only), non-zero releases rolled up
+    to GoC, and retro GoC recovery rows — unioned first and joined to the GoC
+    dimension once (inner join: rows of unknown GoCs drop out)."""
+    assumed = goc_state.select(
+        F.lit(True).alias("_assumed_only"), "goc_id", "reporting_date", "reporting_quarter", "aoc_step",
         "aoc_order", "cf_amount", "cf_cumulative", "csm_amount", "lc_amount",
         _null_money().alias("lrc_amount"), "profitability_state",
     )
-    release = goc_csm_release(treaty_state).join(gocs, "goc_id", "inner").select(
-        "goc_id", "goc_type", "scenario_description", "reporting_date", "reporting_quarter",
+    release = goc_csm_release(treaty_state).select(
+        F.lit(False).alias("_assumed_only"), "goc_id", "reporting_date", "reporting_quarter",
         F.lit(S.CSM_RELEASE).alias("aoc_step"), F.lit(S.AOC_ORDER[S.CSM_RELEASE]).alias("aoc_order"),
         _zero_money().alias("cf_amount"), _null_money().alias("cf_cumulative"),
         money(F.col("csm_amount")).alias("csm_amount"), _zero_money().alias("lc_amount"),
         _null_money().alias("lrc_amount"), "profitability_state",
     )
-    retro = retro_state.withColumnRenamed("retro_goc_id", "goc_id").join(gocs, "goc_id", "inner").select(
-        "goc_id", "goc_type", "scenario_description", "reporting_date", "reporting_quarter", "aoc_step",
-        "aoc_order", _zero_money().alias("cf_amount"), _null_money().alias("cf_cumulative"),
-        "csm_amount", "lc_amount", "lrc_amount", "profitability_state",
+    retro = retro_state.select(
+        F.lit(False).alias("_assumed_only"), F.col("retro_goc_id").alias("goc_id"), "reporting_date",
+        "reporting_quarter", "aoc_step", "aoc_order", _zero_money().alias("cf_amount"),
+        _null_money().alias("cf_cumulative"), "csm_amount", "lc_amount", "lrc_amount", "profitability_state",
+    )
+    gocs = stg_goc.select("goc_id", "goc_type", "scenario_description")
+    out = (
+        assumed.unionByName(release).unionByName(retro)
+        .join(gocs, "goc_id", "inner")
+        .filter(~F.col("_assumed_only") | (F.col("goc_type") == S.ASSUMED))
+        .select(*_GOC_AOC_COLS)
     )
-    out = assumed.unionByName(release).unionByName(retro).select(*_GOC_AOC_COLS)
     return out.orderBy("goc_id", "reporting_date", "aoc_order") if ordered else out
 
 
@@ -125,23 +131,32 @@ def mart_annual_aoc_detail(goc_aoc: DataFrame, ordered: bool = False) -> DataFra
 
 def mart_pnl_quarterly(goc_state: DataFrame, treaty_state: DataFrame, retro_state: DataFrame,
                        ordered: bool = False) -> DataFrame:
-    quarters = goc_state.filter(F.col("aoc_step") == S.CLOSING).select(
-        "reporting_date", "reporting_quarter").distinct()
-    revenue = treaty_state.filter(F.col("aoc_step") == S.CSM_RELEASE).groupBy("reporting_date").agg(
-        F.sum("csm_amount").alias("insurance_revenue_gross"))
-    expense = goc_state.filter((F.col("aoc_step") == S.VARIANCE) & (F.col("lc_amount") < 0)).groupBy(
-        "reporting_date").agg(F.sum("lc_amount").alias("insurance_service_expense_gross"))
-    recovery = retro_state.groupBy("reporting_date").agg(F.sum("lrc_amount").alias("recovery_ceded"))
-    j = quarters.join(revenue, "reporting_date", "left").join(expense, "reporting_date", "left") \
-        .join(recovery, "reporting_date", "left")
-    rev = F.coalesce(F.col("insurance_revenue_gross"), F.lit(0))
-    exp = F.coalesce(F.col("insurance_service_expense_gross"), F.lit(0))
-    rec = F.coalesce(F.col("recovery_ceded"), F.lit(0))
-    out = j.select(
+    """Per quarter with a GoC CLOSING — revenue (treaty CSM releases), service
+    expense (negative VARIANCE LC of the GoCs) and recovery (retro LRC), 0 when
+    absent.  One union of the three sources, partially aggregated per source, then
+    one aggregation per date: no joins."""
+    zero = F.lit(0).cast(S.MONEY)
+
+    def part(df, has_quarter, rev, exp, rec):
+        return df.select("reporting_date",
+                         F.when(F.lit(has_quarter), F.col("reporting_quarter")).alias("q"),
+                         rev.alias("rev"), exp.alias("exp"), rec.alias("rec"))
+
+    step = F.col("aoc_step")
+    quarters = part(goc_state.filter(step == S.CLOSING), True, zero, zero, zero)
+    revenue = part(treaty_state.filter(step == S.CSM_RELEASE), False, F.col("csm_amount"), zero, zero)
+    expense = part(goc_state.filter((step == S.VARIANCE) & (F.col("lc_amount") < 0)), False,
+                   zero, F.col("lc_amount"), zero)
+    recovery = part(retro_state, False, zero, zero, F.col("lrc_amount"))
+    agg = quarters.unionByName(revenue).unionByName(expense).unionByName(recovery).groupBy("reporting_date").agg(
+        F.max("q").alias("reporting_quarter"),
+        F.sum("rev").alias("rev"), F.sum("exp").alias("exp"), F.sum("rec").alias("rec"),
+    ).filter(F.col("reporting_quarter").isNotNull())
+    out = agg.select(
         "reporting_date", "reporting_quarter",
-        money(rev).alias("insurance_revenue_gross"),
-        money(exp).alias("insurance_service_expense_gross"),
-        money(rec).alias("recovery_ceded"),
-        money(rev + exp + rec).alias("net_result"),
+        money(F.col("rev")).alias("insurance_revenue_gross"),
+        money(F.col("exp")).alias("insurance_service_expense_gross"),
+        money(F.col("rec")).alias("recovery_ceded"),
+        money(F.col("rev") + F.col("exp") + F.col("rec")).alias("net_result"),
     )
     return out.orderBy("reporting_date") if ordered else out
