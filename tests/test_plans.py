@@ -47,3 +47,20 @@ def test_treaty_count_pruned_when_unused(led):
     # the distinct count of M2 is only planned when its column is read
     p = plan(led.int_goc_bs_state)
     assert "count(distinct" not in p.lower()
+
+
+def test_pnl_is_join_free_over_ledgers(led):
+    from gocledger.operators import marts
+    df = marts.mart_pnl_quarterly(led.int_goc_bs_state, led.int_treaty_bs_state, led.int_retro_bs_state)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    top = lines[:next(i for i, line in enumerate(lines) if "Union" in line)]
+    # the sources are unioned and aggregated once: no join above the union
+    assert top and not any("Join" in line for line in top)
+    assert any("Aggregate" in line for line in top)
+
+
+def test_quarterly_mart_joins_goc_dimension_once(led):
+    p = led.mart_goc_aoc_quarterly._jdf.queryExecution().optimizedPlan().toString()
+    goc_joins = [line for line in p.splitlines() if "Join Inner" in line and "(goc_id#" in line
+                 and "reporting_date" not in line]
+    assert len(goc_joins) == 1, goc_joins
