@@ -87,30 +87,40 @@ def mart_treaty_aoc_quarterly(treaty_state: DataFrame, stg_treaty: DataFrame, or
 
 
 def mart_goc_annual_summary(goc_aoc: DataFrame, ordered: bool = False) -> DataFrame:
+    """A5: per GoC, the Q1 OPENING, the year's movements by step and the Q4
+    CLOSING, in one pass over the quarterly mart (one ``groupBy(goc_id)`` with
+    conditional aggregates).  A GoC appears only when it has all three parts
+    (retro GoCs have no OPENING and drop out); ``total_lrc`` stays NULL unless a
+    release row contributes a 0, as with the step-wise sums."""
     step, q = F.col("aoc_step"), F.col("reporting_quarter")
-    opening = goc_aoc.filter((q == 1) & (step == S.OPENING)).select(
-        "goc_id", "goc_type", "scenario_description",
-        F.col("csm_amount").alias("opening_csm"), F.col("lc_amount").alias("opening_lc"),
-        F.col("lrc_amount").alias("opening_lrc"),
+    is_open = (q == 1) & (step == S.OPENING)
+    is_close = (q == 4) & (step == S.CLOSING)
+    is_move = ~step.isin(S.OPENING, S.CLOSING)
+
+    def at(cond, col):
+        return F.max(F.when(cond, F.col(col)))
+
+    def moved(steps, col):
+        return money(F.sum(F.when(is_move, F.when(step.isin(*steps), F.col(col)).otherwise(_zero_money()))))
+
+    agg = goc_aoc.groupBy("goc_id").agg(
+        F.max(is_open.cast("int")).alias("_open"), F.max(is_close.cast("int")).alias("_close"),
+        F.max(is_move.cast("int")).alias("_move"),
+        at(is_open, "goc_type").alias("goc_type"),
+        at(is_open, "scenario_description").alias("scenario_description"),
+        at(is_open, "csm_amount").alias("opening_csm"), at(is_open, "lc_amount").alias("opening_lc"),
+        at(is_open, "lrc_amount").alias("opening_lrc"),
+        moved([S.INIT_RECOG], "csm_amount").alias("init_recog_csm"),
+        moved([S.INIT_RECOG], "lc_amount").alias("init_recog_lc"),
+        moved([S.VARIANCE], "csm_amount").alias("total_variance_csm"),
+        moved([S.VARIANCE], "lc_amount").alias("total_variance_lc"),
+        moved([S.CSM_RELEASE], "csm_amount").alias("total_csm_release"),
+        moved([S.INIT_RECOG, S.VARIANCE], "lrc_amount").alias("total_lrc"),
+        at(is_close, "csm_amount").alias("closing_csm"), at(is_close, "lc_amount").alias("closing_lc"),
+        at(is_close, "lrc_amount").alias("closing_lrc"),
+        at(is_close, "profitability_state").alias("final_profitability"),
     )
-    closing = goc_aoc.filter((q == 4) & (step == S.CLOSING)).select(
-        "goc_id", F.col("csm_amount").alias("closing_csm"), F.col("lc_amount").alias("closing_lc"),
-        F.col("lrc_amount").alias("closing_lrc"), F.col("profitability_state").alias("final_profitability"),
-    )
-
-    def by_step(steps, col):
-        return money(F.sum(F.when(step.isin(*steps), F.col(col)).otherwise(_zero_money())))
-
-    movements = goc_aoc.filter(~step.isin(S.OPENING, S.CLOSING)).groupBy("goc_id").agg(
-        by_step([S.INIT_RECOG], "csm_amount").alias("init_recog_csm"),
-        by_step([S.INIT_RECOG], "lc_amount").alias("init_recog_lc"),
-        by_step([S.VARIANCE], "csm_amount").alias("total_variance_csm"),
-        by_step([S.VARIANCE], "lc_amount").alias("total_variance_lc"),
-        by_step([S.CSM_RELEASE], "csm_amount").alias("total_csm_release"),
-        # NULL lrc on assumed movement rows makes this NULL unless a release row adds a 0
-        by_step([S.INIT_RECOG, S.VARIANCE], "lrc_amount").alias("total_lrc"),
-    )
-    out = opening.join(movements, "goc_id", "inner").join(closing, "goc_id", "inner").select(
+    out = agg.filter((F.col("_open") == 1) & (F.col("_close") == 1) & (F.col("_move") == 1)).select(
         "goc_id", "goc_type", "scenario_description", "opening_csm", "opening_lc", "opening_lrc",
         "init_recog_csm", "init_recog_lc", "total_variance_csm", "total_variance_lc", "total_csm_release",
         "total_lrc", "closing_csm", "closing_lc", "closing_lrc", "final_profitability",
