@@ -49,6 +49,7 @@ class Ledger:
         expectations: DataFrame | None = None,
         materialize_treaty: bool = False,
         share_movements: bool = True,
+        materialize_retro: bool = False,
     ) -> None:
         self.spark = spark
         self.raw = raw
@@ -60,6 +61,8 @@ class Ledger:
         # write the treaty movements once when both the GoC state and the treaty
         # ledger read them; a GoC-only job reads the source a single time anyway
         self.share_movements = share_movements
+        # write the retro movements once when several validators read them
+        self.materialize_retro = materialize_retro
 
     # -- constructors ---------------------------------------------------------
     @classmethod
@@ -164,8 +167,9 @@ class Ledger:
 
     @cached_property
     def int_retro_quarterly_movement(self) -> DataFrame:
-        return retro.retro_quarterly_movement(self.int_treaty_bs_state, self.stg_retro_link, self.retro_treaties,
-                                              self.retro_treaty_rows, self.params)
+        df = retro.retro_quarterly_movement(self.int_treaty_bs_state, self.stg_retro_link, self.retro_treaties,
+                                            self.retro_treaty_rows, self.params)
+        return cut_lineage(df, "retro_movement", self.scratch) if self.materialize_retro else df
 
     @cached_property
     def int_retro_bs_state(self) -> DataFrame:

@@ -40,8 +40,15 @@ GOC_ONLY = frozenset({
 })
 
 
-def _ledger(spark: SparkSession, sf_dir: str, materialize_treaty: bool = False, goc_only: bool = False) -> Ledger:
-    return Ledger.from_driver(spark, sf_dir, materialize_treaty=materialize_treaty, share_movements=not goc_only)
+# Models that read the retro movements in several branches (V4 and V7 of the
+# summary): the losses x links join is written once instead of run per branch.
+MULTI_READ_RETRO = frozenset({"val_summary"})
+
+
+def _ledger(spark: SparkSession, sf_dir: str, materialize_treaty: bool = False, goc_only: bool = False,
+            materialize_retro: bool = False) -> Ledger:
+    return Ledger.from_driver(spark, sf_dir, materialize_treaty=materialize_treaty, share_movements=not goc_only,
+                              materialize_retro=materialize_retro)
 
 
 def _goc_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
@@ -51,7 +58,7 @@ def _goc_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
 def _model(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _ledger(spark, sf_dir, materialize_treaty=name in MULTI_READ_TREATY,
-                       goc_only=name in GOC_ONLY).model(name)
+                       goc_only=name in GOC_ONLY, materialize_retro=name in MULTI_READ_RETRO).model(name)
     q.__name__ = name
     return q
 
