@@ -62,3 +62,14 @@ def test_publish_releases_scratch(spark):
     assert led.scratch == [] and not any(os.path.exists(p.replace("file:", "")) for p in scratch)
     assert led.mart_pnl_quarterly.count() == 4                     # published tables still read fine
     assert spark.read.parquet(written["val_summary"]).count() == 8
+
+
+def test_cli_run_and_test(spark, capsys):
+    from gocledger.__main__ import main
+    out = os.path.join(tempfile.mkdtemp(prefix="gocledger-cli-"), "ledger")
+    assert main(["run", "--sf-dir", "/root/testdata/sf0.001", "--out", out]) == 0
+    assert sorted(os.listdir(out)) == ["int", "mart", "stg", "val"]
+    # the bound scenario expectations are not all met at sf0.001 -> non-zero exit, findings printed
+    assert main(["test", "--sf-dir", "/root/testdata/sf0.001"]) == 1
+    printed = capsys.readouterr().out
+    assert "val_scenario_expectation" in printed and "data tests failing: 0" in printed
