@@ -132,3 +132,11 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
         cond = c if cond is None else cond & c
     out = left.join(r, cond, how)
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
+
+
+def shield(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that clash with ``names`` renamed, and the renaming back.
+    For operators that return their input's own columns unchanged."""
+    taken = {n.lower() for n in names}
+    away = {c: f"__in_{c}" for c in df.columns if c.lower() in taken}
+    return (df.withColumnsRenamed(away) if away else df), {v: k for k, v in away.items()}

@@ -8,20 +8,68 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gocledger.llm import simhash
+from gocledger.llm import decontam, langid, licenses, mixing, sharding, simhash, toxicity
 from gocledger.llm.common import Scratch, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    sharded = sharding.shuffle_into_shards(docs, n_shards=sharding.N_SHARDS)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return sharded.select(
+        "doc_id", sharding.record_bytes(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot",
+        sharding.shard_of(F.col("doc_id"), sharding.N_SHARDS + 1).cast("int").alias("grown_shard"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, sf_dir, "documents"), Scratch(spark))
     return groups.select("doc_id", simhash.hex_fingerprint(F.col("fingerprint_bits")).alias("fingerprint"),
                          "component_id")
 
 
+def held_out(doc_id: F.Column) -> F.Column:
+    """Documents that language identification never learns from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~held_out(F.col("doc_id"))))
+    found = langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    _, rows = mixing.mix(docs.select("doc_id", "text", "source"), labels, Scratch(spark))
+    return rows.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"),
+                       (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    return toxicity.predict(docs, toxicity.train(docs, labels), keep=["doc_id"])
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontam.annotate(docs, read(spark, sf_dir, "benchmark"), Scratch(spark), keep=["doc_id"])
+    hit = decontam.hit_words(F.col("hit_starts"), F.col("hit_ends"))
+    return marked.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"), "longest_match")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_simhash,)}
+    return {f.__name__: f for f in (
+        op2_sharding, op3_licenses, op4_simhash, op5_language, op8_mixing, op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
