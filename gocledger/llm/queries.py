@@ -8,12 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gocledger.llm import decontam, langid, licenses, mixing, sharding, simhash, toxicity
+from gocledger.llm import decontam, embeddings, langid, licenses, mixing, sharding, simhash, spans, toxicity
 from gocledger.llm.common import Scratch, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = spans.remove_repeated_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_sentences", "n_removed", "first_ids", "text")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     sharded = sharding.shuffle_into_shards(docs, n_shards=sharding.N_SHARDS)
@@ -46,6 +51,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), Scratch(spark))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     _, rows = mixing.mix(docs.select("doc_id", "text", "source"), labels, Scratch(spark))
@@ -69,7 +79,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_sharding, op3_licenses, op4_simhash, op5_language, op8_mixing, op9_toxicity, op10_decontamination)}
+        op1_spans, op2_sharding, op3_licenses, op4_simhash, op5_language, op6_embeddings, op8_mixing, op9_toxicity,
+        op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
