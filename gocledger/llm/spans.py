@@ -5,8 +5,8 @@ its words); a global aggregation finds the first place of every span that occurs
 more than once, and the sentences covered by any other place of it are removed.
 
 A text is cut at line ends and behind ``.``, ``!`` or ``?``, any marks and white space.
-Within a sentence, from its 13th word on, it is also cut behind every word whose
-checksum is a multiple of eight: the cut depends on that word and the few before
+Within a sentence, from its 9th word on, it is also cut behind every word whose
+checksum is a multiple of four: the cut depends on that word and the few before
 it, so two copies of a passage in the midst of long sentences are cut alike. A
 run of fewer than ``min_words`` words is lengthened by the sentences after it, so
 that headings and one-word sentences do not make spans that repeat by chance; a
@@ -36,8 +36,8 @@ from gocledger.llm.common import null_safe, shield, utf8
 SPAN = 3
 MIN_WORDS = 12
 #: Words of a sentence before it may be cut inside, and how rare the cutting words are.
-LONG_WORDS = 12
-CUT_EVERY = 8
+LONG_WORDS = 8
+CUT_EVERY = 4
 ADDED = ("n_sentences", "n_removed", "first_ids")
 
 _END = re.compile(rb"[.!?][^0-9a-z\x80-\xff\s]*\s+|[\r\n]\s*")
