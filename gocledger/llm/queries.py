@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gocledger.llm import decontam, embeddings, langid, licenses, mixing, sharding, simhash, spans, toxicity
-from gocledger.llm.common import Scratch, read
+from gocledger.llm import decontam, embeddings, langid, licenses, linedup, mixing, sharding, simhash, spans, toxicity
+from gocledger.llm.common import Scratch, null_safe, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,17 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scratch = Scratch(spark)
+    removed = scratch.cut(linedup.repeated_lines(docs, scratch), "removed-lines")
+    slim = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
+                       F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)).cast("long").alias("n_lines"))
+    met = null_safe(slim, removed, ["doc_id", "text_key"], "left")
+    return met.select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+                      F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     _, rows = mixing.mix(docs.select("doc_id", "text", "source"), labels, Scratch(spark))
@@ -79,8 +90,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_spans, op2_sharding, op3_licenses, op4_simhash, op5_language, op6_embeddings, op8_mixing, op9_toxicity,
-        op10_decontamination)}
+        op1_spans, op2_sharding, op3_licenses, op4_simhash, op5_language, op6_embeddings, op7_lines, op8_mixing,
+        op9_toxicity, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
