@@ -38,15 +38,23 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     from gocledger.plans.pipeline import Ledger
+    from gocledger.session import release_run
 
     spark = _session()
+    try:
+        return _command(args, spark, Ledger)
+    finally:
+        release_run(spark)
+
+
+def _command(args: argparse.Namespace, spark: SparkSession, Ledger: type) -> int:
     if args.command == "run":
         led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True)
         for name, path in led.publish(args.out, release_scratch=True).items():
             print(f"{name}\t{path}")
         return 0
 
-    led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True, materialize_treaty=True)
+    led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True, materialize_treaty=True, materialize_retro=True)
     summary = led.val_summary.collect()
     for r in sorted(summary):
         print(f"{r.validation:34s} {r.fail_count}")

@@ -87,11 +87,12 @@ def mart_treaty_aoc_quarterly(treaty_state: DataFrame, stg_treaty: DataFrame, or
 
 
 def mart_goc_annual_summary(goc_aoc: DataFrame, ordered: bool = False) -> DataFrame:
-    """A5: per GoC, the Q1 OPENING, the year's movements by step and the Q4
-    CLOSING, in one pass over the quarterly mart (one ``groupBy(goc_id)`` with
-    conditional aggregates).  A GoC appears only when it has all three parts
-    (retro GoCs have no OPENING and drop out); ``total_lrc`` stays NULL unless a
-    release row contributes a 0, as with the step-wise sums."""
+    """A5: per GoC and year, the Q1 OPENING, the year's movements by step and the
+    Q4 CLOSING, in one pass over the quarterly mart (one ``groupBy(goc_id,
+    reporting_year)`` with conditional aggregates).  A GoC has a row for a year only
+    when the year has all three parts (retro GoCs have no OPENING and drop out);
+    ``total_lrc`` stays NULL unless a release row contributes a 0, as with the
+    step-wise sums."""
     step, q = F.col("aoc_step"), F.col("reporting_quarter")
     is_open = (q == 1) & (step == S.OPENING)
     is_close = (q == 4) & (step == S.CLOSING)
@@ -103,7 +104,7 @@ def mart_goc_annual_summary(goc_aoc: DataFrame, ordered: bool = False) -> DataFr
     def moved(steps, col):
         return money(F.sum(F.when(is_move, F.when(step.isin(*steps), F.col(col)).otherwise(_zero_money()))))
 
-    agg = goc_aoc.groupBy("goc_id").agg(
+    agg = goc_aoc.groupBy("goc_id", F.year("reporting_date").alias("reporting_year")).agg(
         F.max(is_open.cast("int")).alias("_open"), F.max(is_close.cast("int")).alias("_close"),
         F.max(is_move.cast("int")).alias("_move"),
         at(is_open, "goc_type").alias("goc_type"),
@@ -121,21 +122,22 @@ def mart_goc_annual_summary(goc_aoc: DataFrame, ordered: bool = False) -> DataFr
         at(is_close, "profitability_state").alias("final_profitability"),
     )
     out = agg.filter((F.col("_open") == 1) & (F.col("_close") == 1) & (F.col("_move") == 1)).select(
-        "goc_id", "goc_type", "scenario_description", "opening_csm", "opening_lc", "opening_lrc",
+        "goc_id", "reporting_year", "goc_type", "scenario_description", "opening_csm", "opening_lc", "opening_lrc",
         "init_recog_csm", "init_recog_lc", "total_variance_csm", "total_variance_lc", "total_csm_release",
         "total_lrc", "closing_csm", "closing_lc", "closing_lrc", "final_profitability",
     )
-    return out.orderBy("goc_id") if ordered else out
+    return out.orderBy("goc_id", "reporting_year") if ordered else out
 
 
 def mart_annual_aoc_detail(goc_aoc: DataFrame, ordered: bool = False) -> DataFrame:
-    out = goc_aoc.groupBy("goc_id", "goc_type", "aoc_step").agg(
+    """Per GoC, year and step, the year's sums."""
+    out = goc_aoc.groupBy("goc_id", "goc_type", F.year("reporting_date").alias("reporting_year"), "aoc_step").agg(
         money(F.sum("csm_amount")).alias("annual_csm_amount"),
         money(F.sum("lc_amount")).alias("annual_lc_amount"),
         money(F.sum("lrc_amount")).alias("annual_lrc_amount"),
     )
     if ordered:
-        out = out.orderBy("goc_id", aoc_order(F.col("aoc_step")))
+        out = out.orderBy("goc_id", "reporting_year", aoc_order(F.col("aoc_step")))
     return out
 
 

@@ -5,13 +5,16 @@ usual generic-test outputs:
 
 * ``not_null``            -> rows whose column is NULL
 * ``unique``              -> (unique_field, n_records) for values seen more than once
-* ``accepted_values``     -> (value_field, n_records) for non-NULL values outside the set
+* ``accepted_values``     -> (value_field, n_records) for non-NULL values outside the set;
+  its failures are these rows, that is the different bad values, not their records
 * ``relationships``       -> (from_field, n_records) child values without a parent (NULL children skipped)
 * ``unique_combination``  -> (key columns..., n_records) for duplicated key tuples
 
 ``run_suite`` evaluates a list of declared test instances and returns one row
-per instance with its failure count.  All not-null and accepted-values checks
-of one model are evaluated in a single aggregate pass over that model.
+per instance with its failure count: the rows the generic test returns, except
+for relationships, where it is the child records without a parent.  All not-null
+checks of one model are one aggregate pass over it, all accepted-values checks
+another (bad values are made distinct map-side before they are counted).
 """
 
 from __future__ import annotations
@@ -164,9 +167,10 @@ def declared_tests() -> list[DataTest]:
     t += _nn("mart_goc_aoc_quarterly", "goc_id", "reporting_date", "aoc_step")
     t += _av("mart_goc_aoc_quarterly", "goc_type", _TYPES)
     t += _nn("mart_treaty_aoc_quarterly", "treaty_id", "reporting_date", "aoc_step")
-    t += _nn("mart_goc_annual_summary", "goc_id") + _un("mart_goc_annual_summary", "goc_id")
+    # One row per year: the keys of the annual marts hold the year beside the GoC (and step).
+    t += _nn("mart_goc_annual_summary", "goc_id") + _ucc("mart_goc_annual_summary", "goc_id", "reporting_year")
     t += _av("mart_goc_annual_summary", "final_profitability", ("PROFITABLE", "ONEROUS", "BREAK_EVEN"))
-    t += _ucc("mart_annual_aoc_detail", "goc_id", "aoc_step")
+    t += _ucc("mart_annual_aoc_detail", "goc_id", "reporting_year", "aoc_step")
     t += _nn("mart_annual_aoc_detail", "goc_id", "aoc_step")
     t += _nn("mart_pnl_quarterly", "reporting_date") + _un("mart_pnl_quarterly", "reporting_date")
     t += _nn("mart_pnl_quarterly", "insurance_revenue_gross", "recovery_ceded")
@@ -182,25 +186,26 @@ def _count_rows(model: str, test: str, column: str, df: DataFrame) -> DataFrame:
 def run_suite(models: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """One row per declared test: (model, test_name, column_name, failures)."""
     parts: list[DataFrame] = []
-    # not_null / accepted_values: one aggregate pass per model
-    by_model: dict[str, list[DataTest]] = {}
+    by_model: dict[tuple[str, str], list[DataTest]] = {}
     for t in tests:
         if t.test in ("not_null", "accepted_values"):
-            by_model.setdefault(t.model, []).append(t)
-    for model, ts in by_model.items():
-        aggs = []
-        for i, t in enumerate(ts):
-            c = F.col(t.columns[0])
-            bad = c.isNull() if t.test == "not_null" else (c.isNotNull() & ~c.isin(*t.values))
-            aggs.append(F.count(F.when(bad, F.lit(1))).alias(f"f{i}"))
-        wide = models[model].agg(*aggs)
-        stack = F.array(*[
-            F.struct(F.lit(t.test).alias("test_name"), F.lit(t.column_name).alias("column_name"),
-                     F.col(f"f{i}").alias("failures"))
-            for i, t in enumerate(ts)
-        ])
-        parts.append(wide.select(F.explode(stack).alias("r")).select(
-            F.lit(model).alias("model"), "r.test_name", "r.column_name", "r.failures"))
+            by_model.setdefault((t.model, t.test), []).append(t)
+    for (model, test), ts in by_model.items():
+        names = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t.column_name).alias("column_name")) for i, t in enumerate(ts)])
+        if test == "not_null":
+            wide = models[model].agg(*[F.count(F.when(F.col(t.columns[0]).isNull(), F.lit(1))).alias(f"f{i}")
+                                       for i, t in enumerate(ts)])
+            found = wide.select(F.posexplode(F.array(*[F.col(f"f{i}") for i in range(len(ts))])).alias("i", "failures"))
+        else:
+            bad = [F.when(~F.col(t.columns[0]).isin(*t.values), F.struct(F.lit(i).alias("i"),
+                                                                       F.col(t.columns[0]).cast("string").alias("v")))
+                   for i, t in enumerate(ts)]
+            values = models[model].select(F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull())).alias("x"))
+            found = values.select("x.i", "x.v").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("failures"))
+        listed = models[model].sparkSession.range(1).select(F.explode(names).alias("n")).select("n.i", "n.column_name")
+        parts.append(listed.join(F.broadcast(found), "i", "left").select(
+            F.lit(model).alias("model"), F.lit(test).alias("test_name"), "column_name",
+            F.coalesce("failures", F.lit(0)).cast("long").alias("failures")))
     for t in tests:
         df = models[t.model]
         if t.test == "unique":

@@ -43,7 +43,7 @@ def retro_quarterly_movement(treaty_state: DataFrame, stg_retro_link: DataFrame,
     with_link = losses.join(links, losses.treaty_id == links.assumed_treaty_id, "inner")
     joined = bounded_broadcast_join(
         with_link, retro_dim, ["retro_treaty_id"], "inner", small_rows=retro_dim_rows,
-        max_rows=params.broadcast_max_rows, salt_buckets=params.salt_buckets, salt_key="assumed_treaty_id")
+        max_bytes=params.broadcast_max_bytes, salt_buckets=params.salt_buckets, salt_key="assumed_treaty_id")
     return joined.select(
         "retro_treaty_id",
         "assumed_treaty_id",

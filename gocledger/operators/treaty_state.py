@@ -8,7 +8,9 @@ size-checked broadcast of the wide GoC state (one row per GoC x period), which
 keeps the treaty partitioning intact.  The per-date CLOSING sums are window
 aggregates over (treaty_id, reporting_date), which the treaty_id partitioning
 already satisfies, and the output rows are produced by exploding one array of
-structs per cashflow row (no union, no second pass, no self-join).
+structs per cashflow row (no union, no second pass, no self-join).  A GoC state
+beyond the broadcast bound is met by a salted shuffle *before* the window
+exchange, so that all windows still share that one partitioning.
 
 Each cashflow row (INIT_RECOG or VARIANCE of a treaty at a date) emits:
 
@@ -49,7 +51,7 @@ from gocledger.functions import (
     release_ratio,
 )
 from gocledger.params import LedgerParams
-from gocledger.operators.joins import bounded_broadcast_join
+from gocledger.operators.joins import bounded_broadcast_join, fits_broadcast
 
 # GoC values a treaty row needs, from the GoC row of the same date: its own
 # INIT_RECOG / VARIANCE step and the previous quarter's CLOSING.
@@ -92,25 +94,32 @@ def treaty_bs_state(
     zero = F.lit(0)
     pidx = period_index(F.col("reporting_date"))
 
+    snapshot = _snapshot(goc_periods)
+    ev = treaty_movement.filter(step.isin(*S.INPUT_STEPS)).withColumn("aoc_order", aoc_order(step)).select(
+        "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order", "amount")
+
+    def with_goc(rows: DataFrame) -> DataFrame:
+        return bounded_broadcast_join(
+            rows, snapshot, ["goc_id", "reporting_date"], "left",
+            small_rows=goc_period_rows, max_bytes=params.broadcast_max_bytes,
+            salt_buckets=params.salt_buckets, salt_key="treaty_id")
+
+    # -- GoC values of the same date: broadcast beside the windows, or shuffled ahead of them
+    late = fits_broadcast(snapshot, goc_period_rows, params.broadcast_max_bytes)
+    ev = ev if late else with_goc(ev)
+
     # -- one exchange on treaty_id: running cumulative, period total, previous VARIANCE quarter
     by_treaty = Window.partitionBy("treaty_id").orderBy("reporting_date", "aoc_order")
     by_date = Window.partitionBy("treaty_id", "reporting_date")
-    ev = treaty_movement.filter(step.isin(*S.INPUT_STEPS)).withColumn("aoc_order", aoc_order(step))
     ev = ev.select(
-        "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order",
-        "amount",
+        "*",
         F.sum("amount").over(by_treaty.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
         F.sum("amount").over(by_date).alias("period_cf"),
         (pidx - F.last(F.when(is_var, pidx), ignorenulls=True)
          .over(by_treaty.rowsBetween(Window.unboundedPreceding, -1))).alias("var_gap"),
         F.max((is_init & (F.col("reporting_quarter") == 1)).cast("int")).over(by_date).alias("init_q1_at_date"),
     )
-
-    # -- GoC values of the same date (size-checked broadcast keeps the treaty partitioning)
-    ev = bounded_broadcast_join(
-        ev, _snapshot(goc_periods), ["goc_id", "reporting_date"], "left",
-        small_rows=goc_period_rows, max_rows=params.broadcast_max_rows,
-        salt_buckets=params.salt_buckets, salt_key="treaty_id")
+    ev = with_goc(ev) if late else ev
 
     g_has_var = F.coalesce(F.col("g_has_var"), F.lit(False))
     g_has_init = F.coalesce(F.col("g_has_init"), F.lit(False))

@@ -21,14 +21,15 @@ class LedgerParams:
         quarters, so adding a quarter can never produce a NULL release.
     tolerance
         absolute tolerance used by the validators (fixed value 0.01).
-    broadcast_max_rows
-        upper bound on rows of a GoC-level table that may be broadcast to
-        treaty rows; above it the join is salted and shuffled instead.
+    broadcast_max_bytes
+        upper bound on the size (measured rows x row width) of a GoC-level table
+        that may be broadcast to treaty rows; above it the join is salted and
+        shuffled instead.
     salt_buckets
         number of salt buckets for the shuffled fallback join.
     """
 
     release_ratios: dict[int, Decimal] = field(default_factory=_default_ratios)
     tolerance: Decimal = Decimal("0.01")
-    broadcast_max_rows: int = 200_000
+    broadcast_max_bytes: int = 32 << 20
     salt_buckets: int = 64

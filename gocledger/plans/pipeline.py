@@ -35,7 +35,7 @@ from gocledger.operators import (
     validate,
 )
 from gocledger.params import LedgerParams
-from gocledger.session import cut_lineage, cut_lineage_counted, ensure_checkpoint_dir, remove_path
+from gocledger.session import cut_lineage, cut_lineage_counted, remove_path, run_folder
 from gocledger.sources import binding, fixture, sinks
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
@@ -54,6 +54,7 @@ class Ledger:
         self.spark = spark
         self.raw = raw
         self.scratch: list[str] = []       # lineage-cut tables this ledger wrote
+        self.published: set[str] = set()   # models whose published table now stands for them
         self.raw_scratch: list[str] = []   # materialised raw inputs (kept while ``raw`` reads them)
         self.params = params or LedgerParams()
         self._expectations = expectations
@@ -119,7 +120,9 @@ class Ledger:
 
     @property
     def _movements(self) -> DataFrame:
-        return self.treaty_movement_table if self.share_movements else self.int_treaty_quarterly_movement
+        if not self.share_movements or "int_treaty_quarterly_movement" in self.published:
+            return self.int_treaty_quarterly_movement
+        return self.treaty_movement_table
 
     @cached_property
     def treaty_movement_table(self) -> DataFrame:
@@ -130,7 +133,8 @@ class Ledger:
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
     def _goc_periods_counted(self) -> tuple[DataFrame, int]:
-        m2 = movement.goc_quarterly_movement(self._movements, self.stg_goc_master)
+        m2 = (self.int_goc_quarterly_movement if "int_goc_quarterly_movement" in self.published
+              else movement.goc_quarterly_movement(self._movements, self.stg_goc_master))
         return cut_lineage_counted(goc_state.goc_periods(m2), "goc_periods", self.scratch)
 
     @cached_property
@@ -272,12 +276,27 @@ class Ledger:
                  "mart_annual_aoc_detail", "mart_pnl_quarterly"),
     }
 
+    def save_tables(self, prefix: str = "") -> dict[str, str]:
+        """Every model as a table of the session's catalog, one database per layer
+        (``<prefix>stg``, ``<prefix>int``, ``<prefix>val``, ``<prefix>mart``)."""
+        written: dict[str, str] = {}
+        for layer, names in self.LAYERS.items():
+            for name in names:
+                df = self.model(name)
+                full = sinks.save_as_table(df, name, layer=f"{prefix}{layer}",
+                                           partition_by=sinks.LEDGER_PARTITIONING.get(name, ()))
+                self.__dict__[name] = self.spark.table(full).select(*df.columns)
+                self.published.add(name)
+                written[name] = full
+        return written
+
     def publish(self, base: str, partition_by: dict[str, tuple[str, ...]] | None = None,
                 release_scratch: bool = False) -> dict[str, str]:
         """Write every model as a parquet table under ``base/<layer>/<model>``
         (full overwrite), layer by layer.  Each written table replaces the model
         for its downstream readers, so every model is computed exactly once and
-        lineage is cut at published tables.  Large ledgers are partitioned by
+        lineage is cut at published tables (the ledgers read the published
+        movements, no scratch copy of them).  Large ledgers are partitioned by
         ``reporting_date``."""
         parts = sinks.LEDGER_PARTITIONING if partition_by is None else partition_by
         written: dict[str, str] = {}
@@ -288,6 +307,7 @@ class Ledger:
                 sinks.write_table(df, path, partition_by=parts.get(name, ()))
                 self.__dict__[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
                 written[name] = path
+                self.published.add(name)
         if release_scratch:
             self.release()
         return written
@@ -308,8 +328,7 @@ class Ledger:
     def materialize_all(self) -> dict[str, str]:
         """Publish every model into the shared checkpoint folder (a run-scoped
         lineage cut for jobs that read many models, e.g. the data-test suite)."""
-        base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        return self.publish(f"{base}/gocledger/run-{uuid.uuid4().hex}")
+        return self.publish(f"{run_folder(self.spark)}/published-{uuid.uuid4().hex}", release_scratch=True)
 
     # -- lookup ----------------------------------------------------------------
     MODELS = (

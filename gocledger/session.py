@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
+#: Folder of this process's lineage-cut tables below ``spark.checkpoint.dir``/gocledger.
+RUN = f"run-{uuid.uuid4().hex}"
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "gocledger") -> SparkSession:
     """A local session configured like the cluster one (AQE on, UI off, UTC)."""
@@ -69,6 +72,17 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(jpath.getFileSystem(jsc.hadoopConfiguration()).delete(jpath, True))
 
 
+def run_folder(spark: SparkSession, run: str | None = None) -> str:
+    """Where a run's lineage-cut tables lie (default: this process's run)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gocledger/{run or RUN}"
+
+
+def release_run(spark: SparkSession, run: str | None = None) -> bool:
+    """Delete all lineage-cut tables of a run.  For the end of a job: results that were
+    not stored elsewhere cannot be read afterwards."""
+    return remove_path(spark, run_folder(spark, run))
+
+
 def cut_lineage(df: DataFrame, name: str = "node", written: list[str] | None = None) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage.
 
@@ -86,7 +100,7 @@ def cut_lineage_counted(df: DataFrame, name: str = "node",
     (no second job to count).  The written path is appended to ``written``."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/gocledger/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/gocledger/{RUN}/{name}-{uuid.uuid4().hex}"
     if written is not None:
         written.append(path)
     obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")

@@ -9,15 +9,16 @@ signed quarterly cashflows.  The mapping (own design):
 * each assumed treaty cedes to the retro treaty of its region at rate
   ``0.25 + 0.05 * regionkey``;
 * the signed amount of a line item is ``+price`` for return flag 'A', ``-price``
-  for 'R' and 0 for 'N'; the measurement year is 1997: INIT_RECOG at 1997-03-31
-  is the sum over ship dates of 1996-Q4, VARIANCE at each 1997 quarter end is
-  the sum over that quarter.
-
-The only large input is ``lineitem``; it is filtered on ship date at the scan
-(pushed down to parquet), partially aggregated per supplier x quarter before the
-shuffle, so the shuffle carries at most one row per supplier x quarter x step per
-map task.  ``nation`` and ``region`` are fixed-size TPC-H dimensions (25 and 5
-rows by the schema's definition) and are broadcast.
+  for 'R' and 0 for 'N'.  Every line item counts; its ship date only says where:
+  what was shipped before the first measurement year (1997) is the treaty's
+  INIT_RECOG, dated at the end of that year's first quarter, and everything from
+  then on is the VARIANCE of its own quarter, however many years follow.  A line
+  without a ship date belongs to the history (INIT_RECOG).
+
+The only large input is ``lineitem``: four columns are read and partially
+aggregated per supplier x quarter before the shuffle, so the shuffle carries at
+most one row per supplier x quarter x step per map task.  The dimensions are
+joined plainly; Spark broadcasts them while their measured size allows.
 """
 
 from __future__ import annotations
@@ -36,19 +37,14 @@ from gocledger.sources.tables import read_parquet
 MEASUREMENT_YEAR = 1997
 
 
-def _ntz(d: dt.date) -> F.Column:
-    return F.lit(d.isoformat()).cast("timestamp_ntz")
-
-
 def cashflow_input(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> DataFrame:
-    """treaty x reporting_date x aoc_step -> amount, from lineitem."""
-    start, boundary, end = dt.date(year - 1, 10, 1), dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
+    """treaty x reporting_date x aoc_step -> amount, from all of lineitem."""
+    boundary = dt.date(year, 1, 1)
     li = read_parquet(spark, sf_dir, "lineitem",
                       ["l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"])
-    li = li.filter((F.col("l_shipdate") >= _ntz(start)) & (F.col("l_shipdate") < _ntz(end)))
     ship = F.col("l_shipdate").cast("date")
     price = money(F.col("l_extendedprice"))
-    is_init = ship < F.lit(boundary)
+    is_init = F.coalesce(ship < F.lit(boundary), F.lit(True))
     lines = li.select(
         "l_suppkey",
         F.when(is_init, F.lit(dt.date(year, 3, 31))).otherwise(quarter_end(ship)).alias("reporting_date"),
@@ -69,13 +65,13 @@ def cashflow_input(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEA
 def _suppliers_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = read_parquet(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     nation = read_parquet(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    return supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey, "inner")
+    return supp.join(nation, supp.s_nationkey == nation.n_nationkey, "inner")
 
 
 def _regions_used(spark: SparkSession, sf_dir: str, supp_nat: DataFrame) -> DataFrame:
     region = read_parquet(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     used = supp_nat.select(F.col("n_regionkey")).distinct()
-    return used.join(F.broadcast(region), used.n_regionkey == region.r_regionkey, "inner")
+    return used.join(region, used.n_regionkey == region.r_regionkey, "inner")
 
 
 def goc_master(spark: SparkSession, sf_dir: str, supp_nat: DataFrame | None = None) -> DataFrame:
@@ -131,7 +127,7 @@ def retro_link(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR,
 def assumption_version(spark: SparkSession, year: int = MEASUREMENT_YEAR) -> DataFrame:
     """Version metadata: one row describing this binding."""
     return spark.createDataFrame(
-        [("V1", f"Driver-table binding, measurement year {year}", dt.date(year + 1, 1, 31))],
+        [("V1", f"Driver-table binding, first measurement year {year}", dt.date(year + 1, 1, 31))],
         S.ASSUMPTION_VERSION,
     )
 

@@ -17,11 +17,11 @@ from gocledger import schema as S
 # Golden scenario data
 # ---------------------------------------------------------------------------
 GOCS = [
-    ("GOC_A", "ASSUMED", "PROFITABLE", "Baseline — small loss, CSM absorbs"),
-    ("GOC_B", "ASSUMED", "PROFITABLE", "Large loss event Q2 — CSM exhausted, turns onerous"),
-    ("GOC_C", "ASSUMED", "ONEROUS", "Initially onerous (pricing error), worsens through year"),
-    ("GOC_D", "ASSUMED", "ONEROUS", "Initially onerous, improves Q3 — LC reversed to CSM"),
-    ("GOC_R1", "RETRO", "PROFITABLE", "Retro GoC — covers assumed treaties, receives recovery"),
+    ("GOC_A", "ASSUMED", "PROFITABLE", "stays profitable all year"),
+    ("GOC_B", "ASSUMED", "PROFITABLE", "one large loss in the second quarter"),
+    ("GOC_C", "ASSUMED", "ONEROUS", "onerous from the start, falling"),
+    ("GOC_D", "ASSUMED", "ONEROUS", "onerous from the start, recovering in the third quarter"),
+    ("GOC_R1", "RETRO", "PROFITABLE", "outward cover of the assumed treaties"),
 ]
 
 TREATIES = [
@@ -47,18 +47,44 @@ RETRO_LINKS = [
     ("TRT_D2", "TRT_R2", "0.45"),
 ]
 
-QUARTER_ENDS = [dt.date(2026, 3, 31), dt.date(2026, 6, 30), dt.date(2026, 9, 30), dt.date(2026, 12, 31)]
-
-# treaty -> (INIT_RECOG in Q1, VARIANCE Q1..Q4)
-CASHFLOWS = {
-    "TRT_A1": (60000, [-8000, -5000, -7000, -6000]),
-    "TRT_A2": (40000, [-4000, -3000, -5000, -3000]),
-    "TRT_B1": (35000, [-3000, -55000, -4000, -3000]),
-    "TRT_B2": (25000, [-2000, -40000, -3000, -2000]),
-    "TRT_C1": (-20000, [-8000, -12000, -5000, -10000]),
-    "TRT_D1": (-8000, [-2000, -1000, 18000, 2000]),
-    "TRT_D2": (-7000, [-1000, -2000, 15000, 3000]),
-}
+# (treaty, reporting date, step, amount)
+CASHFLOWS = [
+    ("TRT_A1", "2026-03-31", "INIT_RECOG", "60000.00"),
+    ("TRT_A1", "2026-03-31", "VARIANCE", "-8000.00"),
+    ("TRT_A1", "2026-06-30", "VARIANCE", "-5000.00"),
+    ("TRT_A1", "2026-09-30", "VARIANCE", "-7000.00"),
+    ("TRT_A1", "2026-12-31", "VARIANCE", "-6000.00"),
+    ("TRT_A2", "2026-03-31", "INIT_RECOG", "40000.00"),
+    ("TRT_A2", "2026-03-31", "VARIANCE", "-4000.00"),
+    ("TRT_A2", "2026-06-30", "VARIANCE", "-3000.00"),
+    ("TRT_A2", "2026-09-30", "VARIANCE", "-5000.00"),
+    ("TRT_A2", "2026-12-31", "VARIANCE", "-3000.00"),
+    ("TRT_B1", "2026-03-31", "INIT_RECOG", "35000.00"),
+    ("TRT_B1", "2026-03-31", "VARIANCE", "-3000.00"),
+    ("TRT_B1", "2026-06-30", "VARIANCE", "-55000.00"),
+    ("TRT_B1", "2026-09-30", "VARIANCE", "-4000.00"),
+    ("TRT_B1", "2026-12-31", "VARIANCE", "-3000.00"),
+    ("TRT_B2", "2026-03-31", "INIT_RECOG", "25000.00"),
+    ("TRT_B2", "2026-03-31", "VARIANCE", "-2000.00"),
+    ("TRT_B2", "2026-06-30", "VARIANCE", "-40000.00"),
+    ("TRT_B2", "2026-09-30", "VARIANCE", "-3000.00"),
+    ("TRT_B2", "2026-12-31", "VARIANCE", "-2000.00"),
+    ("TRT_C1", "2026-03-31", "INIT_RECOG", "-20000.00"),
+    ("TRT_C1", "2026-03-31", "VARIANCE", "-8000.00"),
+    ("TRT_C1", "2026-06-30", "VARIANCE", "-12000.00"),
+    ("TRT_C1", "2026-09-30", "VARIANCE", "-5000.00"),
+    ("TRT_C1", "2026-12-31", "VARIANCE", "-10000.00"),
+    ("TRT_D1", "2026-03-31", "INIT_RECOG", "-8000.00"),
+    ("TRT_D1", "2026-03-31", "VARIANCE", "-2000.00"),
+    ("TRT_D1", "2026-06-30", "VARIANCE", "-1000.00"),
+    ("TRT_D1", "2026-09-30", "VARIANCE", "18000.00"),
+    ("TRT_D1", "2026-12-31", "VARIANCE", "2000.00"),
+    ("TRT_D2", "2026-03-31", "INIT_RECOG", "-7000.00"),
+    ("TRT_D2", "2026-03-31", "VARIANCE", "-1000.00"),
+    ("TRT_D2", "2026-06-30", "VARIANCE", "-2000.00"),
+    ("TRT_D2", "2026-09-30", "VARIANCE", "15000.00"),
+    ("TRT_D2", "2026-12-31", "VARIANCE", "3000.00"),
+]
 
 # Final-period state expected per GoC by the scenario design.
 EXPECTED_FINAL_STATE = [
@@ -69,18 +95,8 @@ EXPECTED_FINAL_STATE = [
 ]
 
 
-def cashflow_rows(cashflows: dict[str, tuple[float, list[float]]] | None = None,
-                  quarter_ends: list[dt.date] | None = None) -> list[tuple]:
-    cashflows = CASHFLOWS if cashflows is None else cashflows
-    quarter_ends = QUARTER_ENDS if quarter_ends is None else quarter_ends
-    rows = []
-    for treaty, (init, variances) in cashflows.items():
-        if init is not None:
-            rows.append((treaty, quarter_ends[0], S.INIT_RECOG, Decimal(str(init)).quantize(Decimal("0.01"))))
-        for q_end, v in zip(quarter_ends, variances):
-            if v is not None:
-                rows.append((treaty, q_end, S.VARIANCE, Decimal(str(v)).quantize(Decimal("0.01"))))
-    return rows
+def cashflow_rows() -> list[tuple]:
+    return [(t, dt.date.fromisoformat(d), step, Decimal(amount)) for t, d, step, amount in CASHFLOWS]
 
 
 def golden_raw(spark: SparkSession) -> dict[str, DataFrame]:

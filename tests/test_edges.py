@@ -16,7 +16,7 @@ INC = dt.date(2026, 1, 1)
 
 CORE = ["int_treaty_quarterly_movement", "int_goc_quarterly_movement", "int_goc_bs_state",
         "int_treaty_bs_state", "int_retro_quarterly_movement", "int_retro_bs_state", "mart_goc_aoc_quarterly",
-        "mart_annual_aoc_detail", "mart_pnl_quarterly", "val_summary"]
+        "mart_goc_annual_summary", "mart_annual_aoc_detail", "mart_pnl_quarterly", "val_summary"]
 
 
 def make_ledger(spark, gocs, treaties, cashflows, links=(), **kw):
@@ -191,9 +191,55 @@ def test_retro_links_many_and_none(spark):
 
 def test_salted_fallback_equals_broadcast(spark, mixed):
     from gocledger.params import LedgerParams
-    salted = Ledger(spark, mixed.raw, params=LedgerParams(broadcast_max_rows=0, salt_buckets=4))
+    salted = Ledger(spark, mixed.raw, params=LedgerParams(broadcast_max_bytes=0))
     for name in ("int_treaty_bs_state", "int_retro_quarterly_movement"):
         cols = salted.model(name).columns
         assert sorted(map(tuple, salted.model(name).collect())) == \
             sorted(map(tuple, mixed.model(name).select(*cols).collect())), name
     assert "pmod(hash(treaty_id" in salted.int_treaty_bs_state._jdf.queryExecution().executedPlan().toString()
+
+
+def test_skewed_goc_salted_with_default_buckets(spark):
+    """One GoC holds nearly all treaties; the salted join gives what the broadcast gives."""
+    from gocledger.params import LedgerParams
+    treaties = [(f"T_H{i}", "ASSUMED", "GOC_H") for i in range(60)] + [("T_S", "ASSUMED", "GOC_S")]
+    flows = [x for i, (t, _, _) in enumerate(treaties) for x in cf(t, 100 + i, {1: -50, 2: -70 + i, 3: 10, 4: -5})]
+    led = make_ledger(spark, [("GOC_H", "ASSUMED", "PROFITABLE"), ("GOC_S", "ASSUMED", "ONEROUS")], treaties, flows)
+    salted = Ledger(spark, led.raw, params=LedgerParams(broadcast_max_bytes=0))
+    cols = led.int_treaty_bs_state.columns
+    assert sorted(map(str, salted.int_treaty_bs_state.select(*cols).collect())) == \
+        sorted(map(str, led.int_treaty_bs_state.collect()))
+    assert "BroadcastHashJoin" in led.int_treaty_bs_state._jdf.queryExecution().executedPlan().toString()
+
+
+def test_annual_marts_keep_years_apart(spark):
+    flows = cf("T_Y", 1000, {1: -100, 2: -100, 3: -100, 4: -100}) + cf("T_Y", None, {1: 50, 2: 50, 3: 50, 4: 50}, Q27)
+    led = make_ledger(spark, [("GOC_Y", "ASSUMED", "PROFITABLE")], [("T_Y", "ASSUMED", "GOC_Y")], flows)
+    got = {r.reporting_year: r for r in led.mart_goc_annual_summary.collect()}
+    assert sorted(got) == [2026, 2027]
+    assert (got[2026].opening_csm, got[2026].closing_csm, got[2026].init_recog_csm) == (D("0.00"), D("-600.00"), D("-1000.00"))
+    assert (got[2027].opening_csm, got[2027].closing_csm, got[2027].init_recog_csm) == (D("-600.00"), D("-800.00"), D("0.00"))
+    assert (got[2026].total_variance_csm, got[2027].total_variance_csm) == (D("400.00"), D("-200.00"))
+    detail = {(r.reporting_year, r.aoc_step): r.annual_csm_amount for r in led.mart_annual_aoc_detail.collect()}
+    assert detail[(2026, "VARIANCE")] == D("400.00") and detail[(2027, "VARIANCE")] == D("-200.00")
+
+
+def test_marts_in_published_order(spark, mixed):
+    from gocledger import schema as S
+    from gocledger.operators import marts
+    order = S.AOC_ORDER
+    goc = mixed.mart_goc_aoc_quarterly
+    q = marts.mart_goc_aoc_quarterly(mixed.int_goc_bs_state, mixed.int_treaty_bs_state, mixed.int_retro_bs_state,
+                                     mixed.stg_goc_master, ordered=True).collect()
+    assert [(r.goc_id, r.reporting_date, r.aoc_order) for r in q] == sorted((r.goc_id, r.reporting_date, r.aoc_order) for r in q)
+    t = marts.mart_treaty_aoc_quarterly(mixed.int_treaty_bs_state, mixed.stg_treaty_master, ordered=True).collect()
+    assert [(r.treaty_id, r.reporting_date, order[r.aoc_step]) for r in t] == \
+        sorted((r.treaty_id, r.reporting_date, order[r.aoc_step]) for r in t)
+    a = marts.mart_goc_annual_summary(goc, ordered=True).collect()
+    assert [(r.goc_id, r.reporting_year) for r in a] == sorted((r.goc_id, r.reporting_year) for r in a)
+    d = marts.mart_annual_aoc_detail(goc, ordered=True).collect()
+    assert [(r.goc_id, r.reporting_year, order[r.aoc_step]) for r in d] == \
+        sorted((r.goc_id, r.reporting_year, order[r.aoc_step]) for r in d)
+    p = marts.mart_pnl_quarterly(mixed.int_goc_bs_state, mixed.int_treaty_bs_state, mixed.int_retro_bs_state,
+                                 ordered=True).collect()
+    assert [r.reporting_date for r in p] == sorted(r.reporting_date for r in p)
