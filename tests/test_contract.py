@@ -19,7 +19,7 @@ def test_entry_smoke(spark):
     out = df.collect()
     assert df.columns == ["reporting_date", "reporting_quarter", "insurance_revenue_gross",
                           "insurance_service_expense_gross", "recovery_ceded", "net_result"]
-    assert len(out) == 4
+    assert len(out) == 20                                   # 1997-Q1 to 2001-Q4
     assert all(r.net_result == r.insurance_revenue_gross + r.insurance_service_expense_gross + r.recovery_ceded
                for r in out)
 
