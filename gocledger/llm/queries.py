@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gocledger.llm import decontam, embeddings, langid, licenses, linedup, mixing, sharding, simhash, spans, toxicity
+from gocledger.llm import decontam, embeddings, langid, licenses, linedup, mixing, oracle, sharding, simhash, spans, toxicity
 from gocledger.llm.common import Scratch, null_safe, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = spans.remove_repeated_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select("doc_id", "n_sentences", "n_removed", "first_ids", "text")
+    return kept.select("doc_id", "n_sentences", "n_removed", (F.col("n_removed") > 0).alias("changed"), "text")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = decontam.hit_words(F.col("hit_starts"), F.col("hit_ends"))
     return marked.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"), "longest_match")
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
 def queries() -> dict[str, Query]:
@@ -95,4 +95,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
