@@ -33,10 +33,12 @@ FIT_ROWS = 4000
 MAX_FEATURES = 1024
 #: A feature counts if it stands in so many fitted texts.
 MIN_DOCS = 5
+#: Least standard score of a feature's difference between the classes; below it is chance.
+MIN_SCORE = 4.0
 FOLDS = 3
 ROUNDS = 300
-PENALTY = 1e-3
-REJECT_AT = 0.5
+PENALTY = 1e-4
+REJECT_AT = 0.4
 SEED = 9
 _CACHE = 1 << 18
 
@@ -112,7 +114,7 @@ class _Rows:
         spread = seen * (1 - seen / total) * rate * (1 - rate)
         score = np.where((docs >= MIN_DOCS) & (spread > 0), np.abs(pos - seen * rate) / np.sqrt(np.maximum(spread, 1e-12)), 0)
         top = np.argsort(-score, kind="stable")[:MAX_FEATURES]
-        return np.sort(top[score[top] > 0])
+        return np.sort(top[score[top] >= MIN_SCORE])
 
 
 def fit_linear(rows: _Rows, y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, pick: np.ndarray) -> Linear:
