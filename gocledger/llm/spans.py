@@ -12,16 +12,20 @@ run of fewer than ``min_words`` words is lengthened by the sentences after it, s
 that headings and one-word sentences do not make spans that repeat by chance; a
 text of fewer sentences than a run is one run.
 
-Spans are pre-aggregated before they are shuffled (first place and count), only
-places of repeated spans are joined back, and a span that stands in a third of
-all documents is one row of the aggregation and a join key that AQE may split.
+Every task combines its own spans before the shuffle: a place that is not the
+task's first place of its span is no first place at all, so it is decided there
+and then, and only one place of a span leaves a batch.  A span that stands in a
+third of all documents thus meets in one task as one row per batch.  One shuffle
+brings the places of a span together in order; decided places ride along, spread
+evenly.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import accumulate, islice
 from zlib import crc32
 
 import numpy as np
@@ -31,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gocledger.llm.common import null_safe, shield, utf8
+from gocledger.llm.common import null_safe, utf8, without
 
 SPAN = 3
 MIN_WORDS = 12
 #: Words of a sentence before it may be cut inside, and how rare the cutting words are.
 LONG_WORDS = 8
 CUT_EVERY = 4
-ADDED = ("n_sentences", "n_removed", "first_ids")
+ADDED = ("n_sentences", "n_removed")
 
 _END = re.compile(rb"[.!?][^0-9a-z\x80-\xff\s]*\s+|[\r\n]\s*")
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -60,14 +64,37 @@ def sentence_bounds(data: bytes) -> list[tuple[int, int]]:
     return out
 
 
+def sentence_words(data: bytes) -> list[list[bytes]]:
+    """The words of every range of :func:`sentence_bounds`, without looking for the ranges' places."""
+    out: list[list[bytes]] = []
+    segments = _END.split(data)
+    for i, seg in enumerate(segments):
+        last = i == len(segments) - 1
+        words = _WORD.findall(seg)
+        if len(words) > LONG_WORDS and len(seg) + (not last) > 2 * LONG_WORDS:
+            at = 0
+            for j in range(LONG_WORDS, len(words)):
+                if crc32(words[j]) % CUT_EVERY == 0:
+                    out.append(words[at:j + 1])
+                    at = j + 1
+            if at < len(words) or not last or not seg.endswith(words[-1]):
+                out.append(words[at:])
+        elif seg or not last:
+            out.append(words)
+    return out
+
+
 def span_ranges(sizes: list[int], span: int, min_words: int) -> list[tuple[int, int]]:
     """(first sentence, sentences) of every sliding run: ``span`` sentences with words, lengthened
     to ``min_words`` words.  ``sizes``: words of each sentence."""
     full = [i for i, n in enumerate(sizes) if n]
-    upto = np.concatenate(([0], np.cumsum([sizes[i] for i in full])))
+    upto = [0, *accumulate(sizes[i] for i in full)]
     out = []
+    b = 0
     for a in range(len(full)):
-        b = max(a + span, int(np.searchsorted(upto, upto[a] + min_words)))
+        b = max(a + span, b)
+        while b < len(upto) and upto[b] < upto[a] + min_words:
+            b += 1
         if b > len(full):
             if a or upto[-1] < min_words:
                 break
@@ -81,36 +108,78 @@ def text_spans(text: str | None, span: int, min_words: int) -> Iterator[tuple[in
 
     The hash covers the words (letters and digits, lower case), not the marks between them.
     """
-    data = utf8(text)
-    words = [b" ".join(_WORD.findall(data[a:b])) for a, b in sentence_bounds(data)]
-    for first, n in span_ranges([w.count(b" ") + 1 if w else 0 for w in words], span, min_words):
-        yield first, n, xxhash.xxh3_128_digest(b" ".join(w for w in words[first:first + n] if w))
+    words = sentence_words(utf8(text))
+    joined = [b" ".join(w) for w in words]
+    for first, n in span_ranges([len(w) for w in words], span, min_words):
+        yield first, n, xxhash.xxh3_128_digest(b" ".join([w for w in joined[first:first + n] if w]))
 
 
 def _places(span: int, min_words: int):
+    """mapInArrow function: (h1, h2, doc_id, text_key, first, n, late, spread) of the spans of a batch;
+    ``late`` rows are already known not to be the first place of their span."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.schema.get_field_index
-            texts, ids, keys = (batch.column(n(c)) for c in ("text", "doc_id", "text_key"))
-            row, first, size, digest = [], [], [], []
+            col = batch.schema.get_field_index
+            texts, ids = batch.column(col("text")), batch.column(col("doc_id"))
+            row, first, size, digest = array("q"), array("i"), array("i"), bytearray()
             for i in range(len(batch)):
                 for a, k, h in text_spans(texts[i].as_py(), span, min_words):
                     row.append(i)
                     first.append(a)
                     size.append(k)
-                    digest.append(h)
-                if len(row) >= 1 << 16 or (i == len(batch) - 1 and row):
-                    halves = np.frombuffer(b"".join(digest), dtype="<i8").reshape(-1, 2)
-                    at = pa.array(row, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), ids.take(at), keys.take(at),
-                         pa.array(first, pa.int32()), pa.array(size, pa.int32())],
-                        names=["h1", "h2", "doc_id", "text_key", "first", "n"])
-                    row, first, size, digest = [], [], [], []
+                    digest += h
+            if not row:
+                continue
+            at, begin = np.array(row), np.array(first)
+            h1, h2 = np.frombuffer(bytes(digest), dtype="<i8").reshape(-1, 2).T
+            none = np.asarray(ids.is_null())[at]
+            doc = ids.fill_null(0).to_numpy(zero_copy_only=False)[at]
+            key = batch.column(col("text_key")).to_numpy(zero_copy_only=False)[at]
+            order = np.lexsort((begin, key, doc, none, h2, h1))
+            s1, s2 = h1[order], h2[order]
+            head = np.concatenate(([True], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])))
+            lead = order[head][np.cumsum(head) - 1]
+            same = (doc[order] == doc[lead]) & (none[order] == none[lead]) & (key[order] == key[lead]) & (begin[order] == begin[lead])
+            # Rows that repeat the leading place are that place; all others come later.
+            keep = order[head | ~same]
+            late = ~(head[head | ~same])
+            names = ["h1", "h2", "doc_id", "text_key", "first", "n", "late", "spread"]
+            for a in range(0, len(keep), 1 << 16):
+                k, z = keep[a:a + (1 << 16)], late[a:a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.where(z, 0, h1[k])), pa.array(np.where(z, 0, h2[k])), ids.take(pa.array(at[k])),
+                     pa.array(key[k]), pa.array(begin[k]), pa.array(np.array(size)[k]), pa.array(z),
+                     pa.array(np.where(z, key[k] + begin[k], h1[k]))], names=names)
 
     return run
 
 
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function over rows sorted by (late, h1, h2, doc_id, text_key, first): the places that are
+    not the first of their span."""
+    lead: tuple | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        cols = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
+        num = {n: cols[n].to_numpy(zero_copy_only=False) for n in ("h1", "h2", "text_key", "first")}
+        none = np.asarray(cols["doc_id"].is_null())
+        doc = cols["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
+        late = cols["late"].to_numpy(zero_copy_only=False)
+        place = np.stack([num["h1"], num["h2"], none.astype(np.int64), doc, num["text_key"], num["first"].astype(np.int64)], axis=1)
+        head = np.concatenate(([True], (place[1:, :2] != place[:-1, :2]).any(axis=1)))
+        if lead is not None and (place[0, :2] == lead[:2]).all():
+            head[0] = False
+        tops = np.concatenate([place[:1] if lead is None else lead[None, :], place[head]])
+        top = tops[np.cumsum(head)]
+        gone = late | (place != top).any(axis=1)
+        firsts = np.flatnonzero(~late)
+        lead = top[firsts[-1]] if len(firsts) else lead
+        use = pa.array(np.flatnonzero(gone))
+        yield pa.RecordBatch.from_arrays([cols[n].take(use) for n in ("doc_id", "text_key", "first", "n")],
+                                         names=["doc_id", "text_key", "first", "n"])
+
+
 def _cut(span: int, min_words: int, names: list[str]):
     """Removes the sentences covered by non-first spans; ``drop`` holds (first, n) pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +201,7 @@ def _cut(span: int, min_words: int, names: list[str]):
                     raw[a:b] for (a, b), x in zip(bounds, gone.tolist()) if not x).decode("utf-8", "surrogatepass"))
             new = {"text": pa.array(texts, pa.string()), "n_sentences": pa.array(total, pa.int64()),
                    "n_removed": pa.array(removed, pa.int64())}
-            out = [*names, "n_sentences", "n_removed", "first_ids"]
+            out = [*names, "n_sentences", "n_removed"]
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(n(c)) for c in out], names=out)
 
     return run
@@ -140,7 +209,7 @@ def _cut(span: int, min_words: int, names: list[str]):
 
 def remove_repeated_spans(docs: DataFrame, *, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (with doc_id and text) with ``text`` rid of every sentence that a non-first repeated
-    span covers, plus n_sentences, n_removed and first_ids (the documents that keep what was removed).
+    span covers, plus n_sentences and n_removed.
 
     The first place of a span is the one with the smallest doc_id (nulls last),
     then the smallest text hash, then the earliest in its text.  Null and empty
@@ -148,20 +217,17 @@ def remove_repeated_spans(docs: DataFrame, *, span: int = SPAN, min_words: int =
     and get the same result.  Other columns pass through; input columns named
     like an added one are replaced.  No rows: no rows.
     """
-    base, _ = shield(docs, ADDED)
-    base = base.select(docs.columns) if base.columns == docs.columns else base.select([c for c in base.columns if not c.startswith("__in_")])
+    base = without(docs, ADDED)
     names = base.columns
     keyed = base.withColumn("__key", F.xxhash64("text"))
     places = (keyed.select("doc_id", "text", F.col("__key").alias("text_key"))
-              .mapInArrow(_places(span, min_words), "h1 long, h2 long, doc_id long, text_key long, first int, n int"))
-    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "first")
-    firsts = (places.groupBy("h1", "h2").agg(F.min(at).alias("top"), F.max(at).alias("end"))
-              .where(F.col("top") != F.col("end")).select("h1", "h2", "top"))
-    later = places.join(firsts, ["h1", "h2"]).where(at != F.col("top"))
-    drops = later.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
-        F.collect_set(F.struct("first", "n")).alias("__drop"), F.sort_array(F.collect_set("top.doc_id")).alias("first_ids"))
+              .mapInArrow(_places(span, min_words), "h1 long, h2 long, doc_id long, text_key long, first int, n int, "
+                                                    "late boolean, spread long"))
+    dealt = places.repartition("spread").sortWithinPartitions(
+        "late", "h1", "h2", F.col("doc_id").asc_nulls_last(), "text_key", "first")
+    gone = dealt.mapInArrow(_later, "doc_id long, text_key long, first int, n int")
+    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
+        F.collect_set(F.struct("first", "n")).alias("__drop"))
     met = null_safe(keyed.withColumn("__id", F.col("doc_id")), drops, ["__id", "__key"], "left")
-    ready = met.select(*names, "__drop", F.coalesce("first_ids", F.array().cast("array<bigint>")).alias("first_ids"))
-    schema = T.StructType([*base.schema, T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType()),
-                           T.StructField("first_ids", T.ArrayType(T.LongType()))])
-    return ready.mapInArrow(_cut(span, min_words, names), schema)
+    schema = T.StructType([*base.schema, T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
+    return met.select(*names, "__drop").mapInArrow(_cut(span, min_words, names), schema)
