@@ -28,6 +28,8 @@ from gocledger.llm.common import without
 SEED = 20_240
 N_SHARDS = 24
 BUCKET_BYTES = 16 << 20
+#: Buckets whose offsets may be broadcast (24 bytes each).
+BROADCAST_ROWS = 1 << 20
 #: Bytes that a record counts besides its text.
 ROW_BYTES = 8
 
@@ -90,6 +92,9 @@ def shuffle_into_shards(docs: DataFrame, *, n_shards: int = N_SHARDS, bucket_byt
     ahead = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("shard").alias("__s"), F.col("bucket").alias("__b"),
                            F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("__ahead"))
+    # One row of 24 bytes per bucket: broadcast while that is small, else joined by a shuffle.
+    if n_shards * n_buckets <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return (dealt.join(offsets, (F.col("shard") == F.col("__s")) & (F.col("bucket") == F.col("__b")))
             .withColumn("slot", F.col("__ahead") + F.col("bucket_slot")).select(*names, *ADDED))
 
