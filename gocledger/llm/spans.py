@@ -44,6 +44,9 @@ LONG_WORDS = 8
 CUT_EVERY = 4
 ADDED = ("n_sentences", "n_removed")
 
+#: Documents whose spans or cut texts are held at once.
+_ROWS = 2048
+
 _END = re.compile(rb"[.!?][^0-9a-z\x80-\xff\s]*\s+|[\r\n]\s*")
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -115,10 +118,10 @@ def text_spans(text: str | None, span: int, min_words: int) -> Iterator[tuple[in
 
 
 def _places(span: int, min_words: int):
-    """mapInArrow function: (h1, h2, doc_id, text_key, first, n, late, spread) of the spans of a batch;
-    ``late`` rows are already known not to be the first place of their span."""
+    """mapInArrow function: (h1, h2, doc_id, text_key, first, n, late) of the spans of a batch; ``late``
+    rows are already known not to be the first place of their span, their h1 only spreads them evenly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, _ROWS) for b in batches for a in range(0, len(b), _ROWS)):
             col = batch.schema.get_field_index
             texts, ids = batch.column(col("text")), batch.column(col("doc_id"))
             row, first, size, digest = array("q"), array("i"), array("i"), bytearray()
@@ -143,13 +146,12 @@ def _places(span: int, min_words: int):
             # Rows that repeat the leading place are that place; all others come later.
             keep = order[head | ~same]
             late = ~(head[head | ~same])
-            names = ["h1", "h2", "doc_id", "text_key", "first", "n", "late", "spread"]
+            names = ["h1", "h2", "doc_id", "text_key", "first", "n", "late"]
             for a in range(0, len(keep), 1 << 16):
                 k, z = keep[a:a + (1 << 16)], late[a:a + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.where(z, 0, h1[k])), pa.array(np.where(z, 0, h2[k])), ids.take(pa.array(at[k])),
-                     pa.array(key[k]), pa.array(begin[k]), pa.array(np.array(size)[k]), pa.array(z),
-                     pa.array(np.where(z, key[k] + begin[k], h1[k]))], names=names)
+                    [pa.array(np.where(z, key[k] + begin[k], h1[k])), pa.array(np.where(z, 0, h2[k])), ids.take(pa.array(at[k])),
+                     pa.array(key[k]), pa.array(begin[k]), pa.array(np.array(size)[k]), pa.array(z)], names=names)
 
     return run
 
@@ -183,17 +185,20 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(span: int, min_words: int, names: list[str]):
     """Removes the sentences covered by non-first spans; ``drop`` holds (first, n) pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, _ROWS) for b in batches for a in range(0, len(b), _ROWS)):
             n = batch.schema.get_field_index
-            drops = batch.column(n("__drop")).to_pylist()
+            drops = batch.column(n("__drop"))
+            at, none = drops.offsets.to_numpy(), np.asarray(drops.is_null())
+            first, size = (drops.values.field(f).to_numpy(zero_copy_only=False) for f in ("first", "n"))
             texts, total, removed = [], [], []
-            for t, drop in zip(batch.column(n("text")), drops):
+            for i, t in enumerate(batch.column(n("text"))):
                 raw = b"" if not t.is_valid else t.as_py().encode("utf-8", "surrogatepass")
                 bounds = sentence_bounds(raw.lower())
                 gone = np.zeros(len(bounds) + 1, dtype=np.int64)
-                for d in drop or ():
-                    gone[d["first"]] += 1
-                    gone[d["first"] + d["n"]] -= 1
+                if not none[i]:
+                    own = slice(at[i], at[i + 1])
+                    np.add.at(gone, first[own], 1)
+                    np.add.at(gone, first[own] + size[own], -1)
                 gone = np.cumsum(gone)[:-1] > 0
                 total.append(len(bounds))
                 removed.append(int(gone.sum()))
@@ -222,8 +227,8 @@ def remove_repeated_spans(docs: DataFrame, *, span: int = SPAN, min_words: int =
     keyed = base.withColumn("__key", F.xxhash64("text"))
     places = (keyed.select("doc_id", "text", F.col("__key").alias("text_key"))
               .mapInArrow(_places(span, min_words), "h1 long, h2 long, doc_id long, text_key long, first int, n int, "
-                                                    "late boolean, spread long"))
-    dealt = places.repartition("spread").sortWithinPartitions(
+                                                    "late boolean"))
+    dealt = places.repartition("h1").sortWithinPartitions(
         "late", "h1", "h2", F.col("doc_id").asc_nulls_last(), "text_key", "first")
     gone = dealt.mapInArrow(_later, "doc_id long, text_key long, first int, n int")
     drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
