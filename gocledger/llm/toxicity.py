@@ -38,7 +38,7 @@ MIN_SCORE = 4.0
 FOLDS = 3
 ROUNDS = 300
 PENALTY = 1e-4
-REJECT_AT = 0.4
+REJECT_AT = 0.5
 SEED = 9
 _CACHE = 1 << 18
 
