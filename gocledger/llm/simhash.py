@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gocledger.llm.common import Scratch, arrow_map, null_safe, pieces, utf8
+from gocledger.llm.common import Scratch, arrow_map, pieces, utf8
 from gocledger.llm.components import connected_components
 
 SEED = 42
@@ -306,7 +306,12 @@ def keep_one_per_group(docs: DataFrame, scratch: Scratch, **options) -> DataFram
     Rows that repeat the representative in doc_id and text collapse to one of them.
     """
     groups = simhash_groups(docs, scratch, **options)
-    kept = groups.select(F.col("keep_id").alias("__id"), F.col("keep_key").alias("__key")).distinct()
-    marked = docs.withColumns({"__id": F.col(options.get("doc_id", "doc_id")),
-                               "__key": F.xxhash64(F.col(options.get("text", "text")))})
-    return null_safe(marked, kept, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+
+    def keys(doc_id: str, text_key: F.Column) -> dict:
+        # Never null, so that the join and the collapse share one shuffle of the texts.
+        return {"__none": F.col(doc_id).isNull(), "__id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "__key": text_key}
+
+    names = ["__none", "__id", "__key"]
+    kept = groups.withColumns(keys("keep_id", F.coalesce("keep_key", F.lit(0)))).select(*names).distinct()
+    marked = docs.withColumns(keys(options.get("doc_id", "doc_id"), F.coalesce(F.xxhash64(F.col(options.get("text", "text"))), F.lit(0))))
+    return marked.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
