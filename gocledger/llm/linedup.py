@@ -1,31 +1,40 @@
 """Fuzzy line dedup by MinHash, DataFrame operations only.
 
-A line's character shingles are the WIDTH characters from each word's start; in a
-run of more than WIDTH characters without white space (no words to go by) they
-start at every character until the run's last WIDTH.  So every character of the
-line lies in some shingle.  Signatures are BANDS x ROWS minima over hashed
-shingles; lines that agree on a whole band are candidates, their exact Jaccard
-similarity is computed, and a distributed union-find closes the links into
+A line's shingles are the CHARS characters from every character of it (``chars``);
+a shorter line is one shingle.  Without ``chars`` they are WIDTH-character windows
+from word starts, which lose most short lines with one changed character and are
+kept for callers that compare by them; the registered query does not.  Signatures are BANDS x ROWS minima over hashed shingles;
+lines that agree on a whole band are candidates, the exact Jaccard similarity of
+their shingles is computed, and a distributed union-find closes the links into
 components, of which the first line stays.
 
-* equal lines are told by a 128-bit hash and need no comparison;
+* equal lines are told by a 128-bit hash and need no comparison; only different
+  lines are signed, their shingles as rows combined where they are made;
+* of bands with the very same members one stays, since it meets the same pairs;
 * a band's members are cut into blocks of bounded size; a member meets a block as
   one row and compares itself with the block's array, so candidate pairs are
   never rows, and a pair is compared only in the first band that it shares;
 * a member first reports one link per block (its smallest linked line).  After
   the union-find over these, a second pass reports which other components it
-  links to: links inside a component cannot change the result.  Together the two
-  passes find the components of all links.
+  links to: links inside a component cannot change the result, so a band whose
+  members are all of one component is left out.  Together the two passes find the
+  components of all links;
+* lines are shuffled as text, and their shingles made where they are compared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gocledger.llm.common import Scratch, null_safe
 from gocledger.llm.components import connected_components
 
+#: Characters of a shingle.
+CHARS = 5
+#: Characters of a window from a word's start.
 WIDTH = 16
 SIMILARITY = 0.8
 BANDS = 6
@@ -34,10 +43,35 @@ BLOCK = 256
 SEED = 7
 
 
+def _chars(line: Column) -> Column:
+    """Four bytes for each character, so that a shingle is cut out at its place without counting from the start."""
+    return F.encode(line, "UTF-32")
+
+
+def _starts(line: Column, width: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.char_length(line) - width, F.lit(0)))
+
+
+def _shingle(chars: Column, start: Column, width: int) -> Column:
+    return F.xxhash64(F.substring(chars, start * 4 + 1, F.lit(4 * width)))
+
+
+def char_shingles(line: Column, width: int = CHARS) -> Column:
+    """Distinct 64-bit hashes of the ``width`` characters from every character of the line; a shorter
+    line is one shingle."""
+    # An array of one, so that the characters are encoded once for the line and not once for each shingle.
+    once = F.transform(F.array(_chars(line)), lambda c: F.transform(_starts(line, width), lambda i: _shingle(c, i, width)))
+    return F.array_distinct(once[0])
+
+
+def _windows(line: Column, width: int) -> Column:
+    return F.regexp_extract_all(line, F.lit(rf"(?=(\S.{{0,{width - 1}}}))(?:\S{{1,{width}}}+(?!\S)|\S)"), F.lit(1))
+
+
 def shingles(line: Column, width: int = WIDTH) -> Column:
-    """Sorted distinct 64-bit hashes of the line's character shingles."""
-    found = F.regexp_extract_all(line, F.lit(rf"(?=(\S.{{0,{width - 1}}}))(?:\S{{1,{width}}}+(?!\S)|\S)"), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+    """Distinct 64-bit hashes of the windows from each word's start; in a run of more than ``width``
+    characters without white space they start at every character until the run's last ``width``."""
+    return F.array_distinct(F.transform(_windows(line, width), lambda s: F.xxhash64(s)))
 
 
 def _masks(n: int, seed: int) -> list[int]:
@@ -50,12 +84,23 @@ def _masks(n: int, seed: int) -> list[int]:
     return out
 
 
-def band_keys(hashes: str, bands: int = BANDS, rows: int = ROWS, seed: int = SEED) -> list[Column]:
-    def low_of(mask: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask))))
+def _signed(lines: DataFrame, chars: int | None, width: int, bands: int, rows: int, seed: int) -> DataFrame:
+    """(h1, h2, b0, b1, ...): the band keys of every different line.
 
-    low = [low_of(m) for m in _masks(bands * rows, seed)]
-    return [F.xxhash64(F.lit(b), *low[b * rows:(b + 1) * rows]) for b in range(bands)]
+    A shingle is a row until the minima over a line's shingles, which need no shuffle of their own.
+    """
+    line = F.col("line")
+    one = lines.select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
+    if chars is None:
+        each = one.select("h1", "h2", F.explode(_windows(line, width)).alias("s")).select("h1", "h2", F.xxhash64("s").alias("hash"))
+    else:
+        cut = one.select("h1", "h2", _chars(line).alias("chars"), _starts(line, chars).alias("starts"))
+        each = cut.select("h1", "h2", "chars", F.explode("starts").alias("start")).select(
+            "h1", "h2", _shingle(F.col("chars"), F.col("start"), chars).alias("hash"))
+    low = each.groupBy("h1", "h2").agg(
+        *[F.min(F.col("hash").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks(bands * rows, seed))])
+    return low.select("h1", "h2", *[F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * rows, (b + 1) * rows)]).alias(f"b{b}")
+                                    for b in range(bands)])
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -69,17 +114,22 @@ def _hashed(lines: DataFrame, seed: int) -> DataFrame:
     return lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(seed), F.col("line"), F.length("line"))})
 
 
-def _meetings(members: DataFrame, block: int) -> DataFrame:
+def _meetings(members: DataFrame, block: int, shape: Callable[[Column], Column]) -> DataFrame:
     """Every member beside every block of its band that it has not met from the other side.
 
-    ``members``: band, n (members of the band), cid, sh, bands and group.
+    ``members``: band, n (members of the band), cid, line, bands and group; the result has
+    shingles (sh) in place of lines.
     """
     chunks = F.ceil(F.col("n") / F.lit(float(block))).cast("int")
     placed = members.withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64(F.lit(SEED), "cid"), chunks).cast("int")})
     blocks = (placed.groupBy(F.col("band").alias("__band"), F.col("chunk").alias("__chunk"))
-              .agg(F.collect_list(F.struct("cid", "sh", "bands", "group")).alias("block")))
+              .agg(F.collect_list(F.struct("cid", "line", "bands", "group")).alias("block"))
+              .withColumn("block", F.transform("block", lambda y: F.struct(
+                  y["cid"].alias("cid"), shape(y["line"]).alias("sh"), y["bands"].alias("bands"),
+                  y["group"].alias("group")))))
     seekers = placed.withColumn("other", F.explode(F.sequence("chunk", F.col("chunks") - 1)))
-    return seekers.join(blocks, (F.col("band") == F.col("__band")) & (F.col("other") == F.col("__chunk")))
+    met = seekers.join(blocks, (F.col("band") == F.col("__band")) & (F.col("other") == F.col("__chunk")))
+    return met.withColumn("sh", shape(F.col("line"))).drop("line")
 
 
 def _linked(similarity: float) -> Column:
@@ -96,7 +146,7 @@ def _linked(similarity: float) -> Column:
     return F.filter("block", link)
 
 
-def repeated_lines(docs: DataFrame, scratch: Scratch, *, width: int = WIDTH, similarity: float = SIMILARITY,
+def repeated_lines(docs: DataFrame, scratch: Scratch, *, chars: int | None = None, width: int = WIDTH, similarity: float = SIMILARITY,
                    bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, seed: int = SEED, doc_id: str = "doc_id",
                    text: str = "text") -> DataFrame:
     """(doc_id, text_key, removed): per document the numbers (from 0, sorted) of the lines that go.
@@ -105,21 +155,26 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, *, width: int = WIDTH, sim
     the first stays: smallest doc_id (nulls last), then smallest text hash
     (``text_key``, xxhash64), then earliest.  Blank lines always stay.  Null texts
     have no lines.  Rows equal in doc_id and text count as one document.
+    ``chars``: length of shingles from every character; None: windows of ``width``
+    from word starts.
     """
+    def shape(line: Column) -> Column:
+        return shingles(line, width) if chars is None else char_shingles(line, chars)
+
     keys = [f"b{i}" for i in range(bands)]
-    hashed = _hashed(_lines(docs, doc_id, text), seed).withColumn("sh", shingles(F.col("line"), width))
-    signed = hashed.select("doc_id", "text_key", "line_no", "h1", "h2",
-                           *[k.alias(n) for k, n in zip(band_keys("sh", bands, rows, seed), keys)])
-    lines = scratch.cut(signed, "lines")
-
-    # Bands with at least two different lines, and their members.
-    banded = lines.select("h1", F.explode(F.array(*keys)).alias("band"))
-    shared = (banded.groupBy("band").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
-              .where(F.col("lo") != F.col("hi")).select("band"))
-    members = scratch.cut(banded.join(shared, "band").distinct(), "line-band-members")
+    hashed = _hashed(_lines(docs, doc_id, text), seed)
+    lines = scratch.cut(hashed.drop("line"), "lines")
+    signed = scratch.cut(_signed(hashed, chars, width, bands, rows, seed), "line-bands")
+
+    # Bands with at least two different lines, one of each set of members, and their members.
+    banded = signed.select("h1", "h2", F.explode(F.array(*keys)).alias("band"))
+    shared = (banded.groupBy("band").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                         F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
+              .where(F.col("lo") != F.col("hi")).groupBy("lo", "hi", "n", "x1", "x2").agg(F.min("band").alias("band")).select("band"))
+    members = scratch.cut(banded.drop("h2").join(shared, "band").distinct(), "line-band-members")
     own = members.groupBy("h1").agg(F.sort_array(F.collect_set("band")).alias("bands"))
 
-    # Shingles of one occurrence of every member.
+    # Text of one occurrence of every member.
     place = F.struct("doc_id", "text_key", "line_no")
     wanted = (lines.join(own.select(F.col("h1").alias("__h1")), F.col("h1") == F.col("__h1"), "left_semi")
               .groupBy("h1", "h2").agg(F.min(place).alias("p"))
@@ -129,23 +184,27 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, *, width: int = WIDTH, sim
         {"__id": F.col("doc_id"), "__key": F.xxhash64("text")})
     found = null_safe(texts, wanted, ["__id", "__key"], "inner").select(
         "nos", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.array_contains("nos", F.col("line_no")))
-    shaped = (_hashed(found.select("line"), seed).withColumn("sh", shingles(F.col("line"), width))
-              .dropDuplicates(["h1", "h2"]).join(own, "h1")
-              .select(F.monotonically_increasing_id().alias("cid"), "h1", "h2", "sh", "bands"))
-    shaped = scratch.cut(shaped, "line-shingles")
+    shaped = (_hashed(found.select("line"), seed).dropDuplicates(["h1", "h2"]).join(own, "h1")
+              .select(F.monotonically_increasing_id().alias("cid"), "h1", "h2", "line", "bands"))
+    shaped = scratch.cut(shaped, "line-texts")
 
     in_band = shaped.select("cid", F.explode("bands").alias("band"))
     sizes = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    full = in_band.join(sizes, "band").join(shaped.select("cid", "sh", "bands"), "cid")
+    full = in_band.join(sizes, "band").join(shaped.select("cid", "line", "bands"), "cid")
 
-    first = _meetings(full.withColumn("group", F.col("cid")), block).select(
+    first = _meetings(full.withColumn("group", F.col("cid")), block, shape).select(
         F.col("cid").alias("a"), F.array_min(F.transform(_linked(similarity), lambda y: y["cid"])).alias("b"))
-    trees = connected_components(scratch.cut(first.where(F.col("b").isNotNull()), "line-links"), scratch, "line-trees")
+    # Rows without a link stay until they are written: a filter would be pushed below the shingles and make them again.
+    trees = connected_components(scratch.cut(first, "line-links"), scratch, "line-trees")
     trees = scratch.cut(trees, "line-groups")
-    grouped = full.join(trees.withColumnRenamed("node", "cid"), "cid", "left").withColumn("group", F.coalesce("component", "cid"))
-    across = _meetings(grouped.drop("component"), block).select(
+    in_group = in_band.join(trees.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "band", "cid", F.coalesce("component", "cid").alias("group"))
+    mixed = in_group.groupBy("band").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count(F.lit(1)).alias("n")).where(
+        F.col("lo") != F.col("hi")).select("band", "n")
+    grouped = in_group.join(mixed, "band").join(shaped.select("cid", "line", "bands"), "cid")
+    across = _meetings(grouped, block, shape).select(
         F.col("group").alias("a"),
-        F.explode(F.array_distinct(F.transform(_linked(similarity), lambda y: y["group"]))).alias("b"))
+        F.explode_outer(F.array_distinct(F.transform(_linked(similarity), lambda y: y["group"]))).alias("b"))
     joined = connected_components(scratch.cut(across, "line-cross-links"), scratch, "line-components")
 
     root = shaped.join(trees.withColumnRenamed("node", "cid"), "cid", "left").withColumn("group", F.coalesce("component", "cid"))

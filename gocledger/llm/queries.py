@@ -59,7 +59,7 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     scratch = Scratch(spark)
-    removed = scratch.cut(linedup.repeated_lines(docs, scratch), "removed-lines")
+    removed = scratch.cut(linedup.repeated_lines(docs, scratch, chars=linedup.CHARS), "removed-lines")
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
                        F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)).cast("long").alias("n_lines"))
     met = null_safe(slim, removed, ["doc_id", "text_key"], "left")

@@ -146,6 +146,34 @@ def test_line_shingles_cover_every_character(spark):
     assert [r.n for r in got] == [len(set(SHINGLE.findall(x))) for x in lines]
 
 
+def five_grams(line):
+    return {line[i:i + 5] for i in range(max(len(line) - 4, 1))}
+
+
+def test_char_shingles_start_at_every_character(spark):
+    lines = ["plain words here", "x" * 40, "abc", "日本語" * 10, "a😀bc😀de", " lead", "tab\tsplit", "four"]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select(F.size(linedup.char_shingles(F.col("line"))).alias("n")).collect()
+    assert [r.n for r in got] == [len(five_grams(x)) for x in lines]
+
+
+def test_one_character_edits_are_found(spark):
+    rng = random.Random(11)
+    lines = []
+    for n in range(5, 21):
+        for k in range(4):
+            line = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(n))
+            at = rng.randrange(len(line))
+            lines += [line, line[:at] + "#" + line[at + 1:]]
+    sets = [five_grams(x) for x in lines]
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
+    label = components(len(lines), links)
+    want = {i for i, c in enumerate(label) if i != c}
+    df = docs(spark, list(enumerate(lines)))
+    for block in (256, 1):
+        got = {r.doc_id for r in linedup.repeated_lines(df, Scratch(spark), chars=linedup.CHARS, bands=16, block=block).collect()}
+        assert got == want and len(want) > 40, block
+
+
 def test_lines_plan_is_native(spark):
     plan = linedup.repeated_lines(docs(spark, [(1, "a b"), (2, "a b")]), Scratch(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
