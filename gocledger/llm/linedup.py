@@ -37,7 +37,7 @@ CHARS = 5
 #: Characters of a window from a word's start.
 WIDTH = 16
 SIMILARITY = 0.8
-BANDS = 6
+BANDS = 16
 ROWS = 3
 BLOCK = 256
 SEED = 7

@@ -6,7 +6,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from gocledger.llm import embeddings, linedup, spans
+from gocledger.llm import embeddings, linedup, queries, spans
 from gocledger.llm.common import Scratch
 from gocledger.llm.components import connected_components
 from helpers import docs, empty, odd_rows, prose
@@ -174,6 +174,19 @@ def test_one_character_edits_are_found(spark):
         assert got == want and len(want) > 40, block
 
 
+def test_registered_banding_finds_pairs_at_the_threshold(spark, tmp_path):
+    rng = random.Random(12)
+    lines = []
+    for _ in range(400):
+        line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=94))
+        lines += [line, line[:30] + "#" + line[31:60] + "#" + line[61:]]     # 80 shared shingles of 100
+    near = [len(five_grams(x) & five_grams(y)) >= 0.8 * len(five_grams(x) | five_grams(y)) - 1e-9 for x, y in zip(lines[::2], lines[1::2])]
+    docs(spark, list(enumerate(lines))).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id for r in queries.op7_lines(spark, str(tmp_path)).where("n_removed > 0").collect()}
+    want = {2 * i + 1 for i, x in enumerate(near) if x}
+    assert got <= want and len(want) > 350 and len(got) >= 0.999 * len(want)
+
+
 def test_lines_plan_is_native(spark):
     plan = linedup.repeated_lines(docs(spark, [(1, "a b"), (2, "a b")]), Scratch(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
