@@ -90,7 +90,10 @@ class Hasher:
 
 def plan(n: int, dims: int, cosine: float, recall: float, probes: int = PROBES, seed: int = SEED) -> tuple[int, int]:
     """(width, tables): buckets of about BUCKET_ROWS of n vectors, and tables enough that two
-    vectors at the threshold meet with probability ``recall`` (measured on seeded random pairs)."""
+    vectors at the threshold meet with probability ``recall`` (measured on seeded random pairs).
+
+    Where that takes more than _MAX_TABLES tables, the width is lowered: buckets grow, recall is kept.
+    ValueError if no width will do."""
     size = max(2, 1 << (dims - 1).bit_length())
     width = max(1, math.ceil(math.log(max(n / BUCKET_ROWS, 2)) / math.log(2 * size)))
     width = min(width, 62 // int(math.log2(2 * size)))
@@ -103,11 +106,14 @@ def plan(n: int, dims: int, cosine: float, recall: float, probes: int = PROBES,
     b -= (a * b).sum(axis=1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     b = cosine * a + math.sqrt(max(0.0, 1 - cosine * cosine)) * b
-    probe = Hasher(dims, width, 4, probes, seed + 1)
-    x, y = probe.buckets(a), probe.buckets(b)
-    meet = float((x[:, :, :, None] == y[:, :, None, :]).any(axis=(2, 3)).mean())
-    tables = math.ceil(math.log(1 - recall) / math.log(1 - min(max(meet, 1e-3), 1 - 1e-9)))
-    return width, min(_MAX_TABLES, max(1, tables))
+    for w in range(width, 0, -1):
+        probe = Hasher(dims, w, 4, probes, seed + 1)
+        x, y = probe.buckets(a), probe.buckets(b)
+        meet = float((x[:, :, :, None] == y[:, :, None, :]).any(axis=(2, 3)).mean())
+        tables = math.ceil(math.log(1 - recall) / math.log(1 - min(max(meet, 1e-3), 1 - 1e-9)))
+        if tables <= _MAX_TABLES:
+            return w, max(1, tables)
+    raise ValueError(f"recall {recall} at cosine {cosine} needs {tables} tables of {dims} dimensions, more than {_MAX_TABLES}")
 
 
 def _signatures(hashers: dict[int, Hasher]):

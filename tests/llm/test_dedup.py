@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gocledger.llm import embeddings, linedup, queries, spans
@@ -247,3 +248,19 @@ def test_recall_is_planned_for_the_threshold():
         b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
         met = (h.buckets(a)[:, :, :, None] == h.buckets(b)[:, :, None, :]).any(axis=(1, 2, 3))
         assert met.mean() > 0.97
+
+
+def test_recall_is_kept_where_many_tables_are_needed():
+    width, tables = embeddings.plan(10**6, 64, 0.5, 0.999)
+    assert tables <= 64 and width < embeddings.plan(10**6, 64, 0.95, 0.999)[0]
+    h = embeddings.Hasher(64, width, tables)
+    rng = np.random.default_rng(1)
+    a = rng.standard_normal((400, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((400, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.5 * a + np.sqrt(1 - 0.5**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    met = (h.buckets(a)[:, :, :, None] == h.buckets(b)[:, :, None, :]).any(axis=(1, 2, 3))
+    assert met.mean() > 0.99
+    with pytest.raises(ValueError):
+        embeddings.plan(500, 64, 0.05, 0.999)
