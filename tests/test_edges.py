@@ -6,7 +6,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from conftest import brute_force_mismatches, rows
+from ledger_helpers import brute_force_mismatches, rows
 from gocledger import schema as S
 from gocledger.plans.pipeline import Ledger
 

@@ -5,7 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from conftest import rows
+from ledger_helpers import rows
 
 COUNTS = {
     "int_treaty_quarterly_movement": 35,
@@ -135,7 +135,7 @@ def test_annual_detail(golden):
 
 
 def test_golden_matches_sql_oracle(spark):
-    from conftest import brute_force_mismatches
+    from ledger_helpers import brute_force_mismatches
     from gocledger.plans.pipeline import Ledger
     led = Ledger.golden(spark, expectations=None)
     led._expectations = None
