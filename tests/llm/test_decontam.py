@@ -5,7 +5,7 @@ import pytest
 
 from gocledger.llm import decontam, queries
 from gocledger.llm.common import Scratch
-from helpers import docs, empty, odd_rows, prose
+from corpus_helpers import docs, empty, odd_rows, prose
 
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 

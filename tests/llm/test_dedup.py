@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gocledger.llm import embeddings, linedup, queries, spans
 from gocledger.llm.common import Scratch
 from gocledger.llm.components import connected_components
-from helpers import docs, empty, odd_rows, prose
+from corpus_helpers import docs, empty, odd_rows, prose
 
 
 def components(n, edges):

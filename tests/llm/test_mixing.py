@@ -2,7 +2,7 @@ import re
 
 from gocledger.llm import mixing
 from gocledger.llm.common import Scratch
-from helpers import docs, empty, odd_rows, prose
+from corpus_helpers import docs, empty, odd_rows, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -2,7 +2,7 @@ import corpus_pipeline
 import __spark_entry__ as E
 from gocledger.llm import decontam, mixing, simhash
 from gocledger.llm.common import Scratch, read
-from helpers import SCHEMA, odd_rows, prose
+from corpus_helpers import SCHEMA, odd_rows, prose
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["toxicity", "simhash_near_dedup", "benchmark_decontamination", "mixing", "sharding"]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from gocledger.llm import langid, licenses, queries, toxicity
-from helpers import docs, empty, odd_rows, prose
+from corpus_helpers import docs, empty, odd_rows, prose
 
 
 # ------------------------------------------------------------------ licences

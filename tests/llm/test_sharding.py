@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from gocledger.llm import queries, sharding
-from helpers import docs, empty, odd_rows, prose
+from corpus_helpers import docs, empty, odd_rows, prose
 
 
 def test_law_slots_and_rows(spark):

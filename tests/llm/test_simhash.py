@@ -5,7 +5,7 @@ import xxhash
 
 from gocledger.llm import simhash
 from gocledger.llm.common import Scratch
-from helpers import docs, empty, odd_rows, prose
+from corpus_helpers import docs, empty, odd_rows, prose
 
 
 def brute_fingerprint(text):
