@@ -3,12 +3,15 @@ production parameters, to its whole table and derives the digest columns."""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gocledger.llm import decontam, embeddings, langid, licenses, linedup, mixing, oracle, sharding, simhash, spans, toxicity
+from gocledger.llm import (
+    conversations, decontam, embeddings, langid, licenses, linedup, merkle, mixing, oracle, sharding, simhash, spans,
+    topk, toxicity)
 from gocledger.llm.common import Scratch, null_safe, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,10 +91,34 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, Scratch(spark), k=topk.K)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = merkle.leaf_digest([lowered if f == "text" else F.col(f) for f in merkle.FIELDS])
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = merkle.manifest(docs, Scratch(spark), keep={
+        "doc_id": F.col("doc_id"), "tampered": F.when(hit, F.unhex(changed))})
+    root = F.lit(made.root).cast("string")
+    folded = merkle.fold(F.coalesce(F.lower(F.hex("tampered")), F.col("leaf")), F.col("path"))
+    return made.proofs.select(
+        "doc_id", "leaf", "subroot", root.alias("root"), merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == root).alias("verified"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repair_report(conversations.damaged(rows))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_spans, op2_sharding, op3_licenses, op4_simhash, op5_language, op6_embeddings, op7_lines, op8_mixing,
-        op9_toxicity, op10_decontamination)}
+        op9_toxicity, op10_decontamination, op11_topk, op12_merkle, op13_conversations)}
 
 
 def oracle_sql() -> dict[str, str]:
