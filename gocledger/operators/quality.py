@@ -9,12 +9,19 @@ usual generic-test outputs:
   its failures are these rows, that is the different bad values, not their records
 * ``relationships``       -> (from_field, n_records) child values without a parent (NULL children skipped)
 * ``unique_combination``  -> (key columns..., n_records) for duplicated key tuples
+* ``row_count_between``   -> (n_records) when a table has fewer or more rows than expected
 
 ``run_suite`` evaluates a list of declared test instances and returns one row
 per instance with its failure count: the rows the generic test returns, except
-for relationships, where it is the child records without a parent.  All not-null
-checks of one model are one aggregate pass over it, all accepted-values checks
-another (bad values are made distinct map-side before they are counted).
+for relationships, where it is the child records without a parent, and
+``row_count_between``, where it is 1 or 0.
+
+The suite reads every model once.  A pass over a model tags each row with the
+keys that the model's tests need (a null column, a bad value, the value or key
+tuple to be unique, a child or a parent value), and all tags of all models meet
+in one aggregation by (test, key) and one by test: duplicates, bad values and
+orphans are read off the same counts.  A key shared by a third of the rows is
+combined map-side.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,12 +64,20 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .filter(F.col("n_records") > 1))
 
 
+def row_count_between(df: DataFrame, least: int | None = None, most: int | None = None) -> DataFrame:
+    """(n_records), one row, if the number of rows is outside the bounds."""
+    n = F.col("n_records")
+    bad = (n < least if least is not None else F.lit(False)) | (n > most if most is not None else F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n_records")).filter(bad)
+
+
 @dataclass(frozen=True)
 class DataTest:
     model: str
     test: str                      # not_null | unique | accepted_values | relationships | unique_combination
-    columns: tuple[str, ...]
-    values: tuple = ()             # accepted values
+                                   # | row_count_between
+    columns: tuple[str, ...] = ()
+    values: tuple = ()             # accepted values; row_count_between: (least, most), None for no bound
     parent: str | None = None      # relationships: parent model
     field: str | None = None       # relationships: parent column
 
@@ -177,47 +192,67 @@ def declared_tests() -> list[DataTest]:
     return t
 
 
-def _count_rows(model: str, test: str, column: str, df: DataFrame) -> DataFrame:
-    return df.groupBy().agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(test).alias("test_name"), F.lit(column).alias("column_name"),
-        "failures")
+def _key(columns: Sequence[str]) -> Column:
+    """The columns' values as one string: lengths keep tuples apart, null is apart from every value."""
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.concat(*map(part, columns))
+
+
+def _tag(i: int, key: Column, child: int, parent: int) -> Column:
+    return F.struct(F.lit(i).alias("i"), key.alias("key"), F.lit(child).cast("long").alias("child"),
+                    F.lit(parent).cast("long").alias("parent"))
+
+
+def _tags(model: str, tests: Sequence[DataTest]) -> list[Column]:
+    """What each row of ``model`` contributes to the tests (null: nothing)."""
+    out = []
+    for i, t in enumerate(tests):
+        col = F.col(t.columns[0]) if t.columns else None
+        if t.model == model:
+            if t.test == "not_null":
+                out.append(F.when(col.isNull(), _tag(i, F.lit(""), 1, 0)))
+            elif t.test == "accepted_values":
+                out.append(F.when(~col.isin(*t.values), _tag(i, col.cast("string"), 1, 0)))
+            elif t.test in ("unique", "relationships"):
+                out.append(F.when(col.isNotNull(), _tag(i, col.cast("string"), 1, 0)))
+            elif t.test == "unique_combination":
+                out.append(_tag(i, _key(t.columns), 1, 0))
+            elif t.test == "row_count_between":
+                out.append(_tag(i, F.lit(""), 1, 0))
+            else:
+                raise ValueError(t.test)
+        if t.test == "relationships" and t.parent == model:
+            out.append(F.when(F.col(t.field).isNotNull(), _tag(i, F.col(t.field).cast("string"), 0, 1)))
+    return out
 
 
 def run_suite(models: Mapping[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """One row per declared test: (model, test_name, column_name, failures)."""
-    parts: list[DataFrame] = []
-    by_model: dict[tuple[str, str], list[DataTest]] = {}
-    for t in tests:
-        if t.test in ("not_null", "accepted_values"):
-            by_model.setdefault((t.model, t.test), []).append(t)
-    for (model, test), ts in by_model.items():
-        names = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t.column_name).alias("column_name")) for i, t in enumerate(ts)])
-        if test == "not_null":
-            wide = models[model].agg(*[F.count(F.when(F.col(t.columns[0]).isNull(), F.lit(1))).alias(f"f{i}")
-                                       for i, t in enumerate(ts)])
-            found = wide.select(F.posexplode(F.array(*[F.col(f"f{i}") for i in range(len(ts))])).alias("i", "failures"))
-        else:
-            bad = [F.when(~F.col(t.columns[0]).isin(*t.values), F.struct(F.lit(i).alias("i"),
-                                                                       F.col(t.columns[0]).cast("string").alias("v")))
-                   for i, t in enumerate(ts)]
-            values = models[model].select(F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull())).alias("x"))
-            found = values.select("x.i", "x.v").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("failures"))
-        listed = models[model].sparkSession.range(1).select(F.explode(names).alias("n")).select("n.i", "n.column_name")
-        parts.append(listed.join(F.broadcast(found), "i", "left").select(
-            F.lit(model).alias("model"), F.lit(test).alias("test_name"), "column_name",
-            F.coalesce("failures", F.lit(0)).cast("long").alias("failures")))
-    for t in tests:
-        df = models[t.model]
-        if t.test == "unique":
-            parts.append(_count_rows(t.model, t.test, t.column_name, unique(df, t.columns[0])))
-        elif t.test == "unique_combination":
-            parts.append(_count_rows(t.model, t.test, t.column_name, unique_combination(df, t.columns)))
-        elif t.test == "relationships":
-            orphans = relationships(df, t.columns[0], models[t.parent], t.field)
-            parts.append(orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")).select(
-                F.lit(t.model).alias("model"), F.lit(t.test).alias("test_name"),
-                F.lit(t.column_name).alias("column_name"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tagged: DataFrame | None = None
+    for model in dict.fromkeys([t.model for t in tests] + [t.parent for t in tests if t.parent]):
+        each = models[model].select(F.explode(F.filter(F.array(*_tags(model, tests)), lambda x: x.isNotNull())).alias("x"))
+        tagged = each if tagged is None else tagged.unionByName(each)
+    keys = tagged.select("x.*").groupBy("i", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    found = keys.groupBy("i").agg(
+        F.sum("child").alias("rows"), F.count(F.lit(1)).alias("keys"), F.count_if(F.col("child") > 1).alias("repeated"),
+        F.sum(F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).alias("orphans"))
+    low, high = F.col("low"), F.col("high")
+    n_rows = F.coalesce("rows", F.lit(0))
+    failures = (F.when(F.col("test_name").isin("unique", "unique_combination"), F.col("repeated"))
+                .when(F.col("test_name") == "accepted_values", F.col("keys"))
+                .when(F.col("test_name") == "relationships", F.col("orphans"))
+                .when(F.col("test_name") == "row_count_between",
+                      (F.coalesce(n_rows < low, F.lit(False)) | F.coalesce(n_rows > high, F.lit(False))).cast("long"))
+                .otherwise(F.col("rows")))
+    declared = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(t.model).alias("model"), F.lit(t.test).alias("test_name"),
+        F.lit(t.column_name).alias("column_name"), *[F.lit(v).cast("long").alias(n) for n, v in zip(
+            ("low", "high"), t.values if t.test == "row_count_between" else (None, None))])
+        for i, t in enumerate(tests)])
+    listed = tagged.sparkSession.range(1).select(F.explode(declared).alias("t")).select("t.*")
+    # one row a test on either side
+    return listed.join(F.broadcast(found), "i", "left").select(
+        "model", "test_name", "column_name", F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))

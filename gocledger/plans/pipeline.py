@@ -18,8 +18,10 @@ folder named by ``spark.checkpoint.dir`` (a reliable lineage cut):
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -290,27 +292,50 @@ class Ledger:
                 written[name] = full
         return written
 
+    #: Models that depend only on the waves before them, so that a wave's tables are written side by side.
+    WAVES = (
+        LAYERS["stg"],
+        ("int_treaty_quarterly_movement",),
+        ("int_goc_quarterly_movement",),
+        ("int_goc_bs_state",),
+        ("int_treaty_bs_state",),
+        ("int_retro_quarterly_movement", "val_bs_invariants", "val_profitability_consistency",
+         "val_rollforward_continuity", "val_release_timing", "val_treaty_goc_reconciliation",
+         "val_scenario_expectation", "mart_treaty_aoc_quarterly"),
+        ("int_retro_bs_state", "val_retro_recovery_identity", "val_retro_no_double_recovery"),
+        ("val_summary", "mart_goc_aoc_quarterly", "mart_pnl_quarterly"),
+        ("mart_goc_annual_summary", "mart_annual_aoc_detail"),
+    )
+
     def publish(self, base: str, partition_by: dict[str, tuple[str, ...]] | None = None,
                 release_scratch: bool = False) -> dict[str, str]:
         """Write every model as a parquet table under ``base/<layer>/<model>``
-        (full overwrite), layer by layer.  Each written table replaces the model
-        for its downstream readers, so every model is computed exactly once and
-        lineage is cut at published tables (the ledgers read the published
+        (full overwrite), wave by wave: what a wave's models read is written by then,
+        and its tables are written by jobs side by side.  Each written table replaces
+        the model for its downstream readers, so every model is computed exactly once
+        and lineage is cut at published tables (the ledgers read the published
         movements, no scratch copy of them).  Large ledgers are partitioned by
         ``reporting_date``."""
         parts = sinks.LEDGER_PARTITIONING if partition_by is None else partition_by
+        layer_of = {name: layer for layer, names in self.LAYERS.items() for name in names}
         written: dict[str, str] = {}
-        for layer, names in self.LAYERS.items():
-            for name in names:
-                df = self.model(name)
-                path = f"{base.rstrip('/')}/{layer}/{name}"
-                sinks.write_table(df, path, partition_by=parts.get(name, ()))
-                self.__dict__[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
-                written[name] = path
-                self.published.add(name)
+
+        def write(name: str, df: DataFrame) -> DataFrame:
+            path = f"{base.rstrip('/')}/{layer_of[name]}/{name}"
+            sinks.write_table(df, path, partition_by=parts.get(name, ()))
+            return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+        with ThreadPoolExecutor(max(map(len, self.WAVES))) as pool:
+            for wave in self.WAVES:
+                # Models are built one after another (they share nodes); only the writes run side by side.
+                jobs = {name: pool.submit(inheritable_thread_target(self.spark)(write), name, self.model(name)) for name in wave}
+                for name, job in jobs.items():
+                    self.__dict__[name] = job.result()
+                    self.published.add(name)
+                    written[name] = f"{base.rstrip('/')}/{layer_of[name]}/{name}"
         if release_scratch:
             self.release()
-        return written
+        return {name: written[name] for names in self.LAYERS.values() for name in names}
 
     _SCRATCH_NODES = ("treaty_movement_table", "_goc_periods_counted", "goc_periods", "goc_period_rows",
                       "_retro_treaties_counted", "retro_treaties", "retro_treaty_rows")
