@@ -1,10 +1,13 @@
 """Command line: build every model, or run the checks.
 
     python -m gocledger run  --sf-dir /root/testdata/sf0.01 --out /shared/ledger
+    python -m gocledger publish --sf-dir /root/testdata/sf0.01 --out /shared/versions
     python -m gocledger test --sf-dir /root/testdata/sf0.01
 
-``run`` publishes all models layer by layer (stg / int / val / mart) as parquet
-tables.  ``test`` prints the validator summary and every failing declared data
+``run`` writes all models layer by layer (stg / int / val / mart) as parquet
+tables, in place.  ``publish`` writes them as the next version of a store that
+others read meanwhile: the version appears only when the validators and data
+tests of its written tables pass (``--tolerate`` names those that may fail).  ``test`` prints the validator summary and every failing declared data
 test, and exits non-zero when anything fails.  Both use the active cluster
 session when there is one (``spark.checkpoint.dir`` must then be set) and a
 local session otherwise.
@@ -33,6 +36,10 @@ def main(argv: list[str] | None = None) -> int:
     run = sub.add_parser("run", help="publish every model")
     run.add_argument("--sf-dir", required=True)
     run.add_argument("--out", required=True)
+    pub = sub.add_parser("publish", help="write, audit, then publish the next version")
+    pub.add_argument("--sf-dir", required=True)
+    pub.add_argument("--out", required=True)
+    pub.add_argument("--tolerate", action="append", default=[], help="a validator or data test that may fail")
     test = sub.add_parser("test", help="validators and declared data tests")
     test.add_argument("--sf-dir", required=True)
     args = parser.parse_args(argv)
@@ -54,7 +61,20 @@ def _command(args: argparse.Namespace, spark: SparkSession, Ledger: type) -> int
             print(f"{name}\t{path}")
         return 0
 
-    led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True, materialize_treaty=True, materialize_retro=True)
+    if args.command == "publish":
+        from gocledger.sources.store import PublishRejected
+
+        led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True)
+        try:
+            print(f"version {led.publish_audited(args.out, tolerate=args.tolerate, release_scratch=True)}")
+            return 0
+        except PublishRejected as e:
+            for name, n in sorted(e.findings.items()):
+                print(f"FAIL {name}: {n}")
+            return 1
+
+    led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True)
+    led.materialize_all()
     summary = led.val_summary.collect()
     for r in sorted(summary):
         print(f"{r.validation:34s} {r.fail_count}")

@@ -18,6 +18,7 @@ folder named by ``spark.checkpoint.dir`` (a reliable lineage cut):
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -38,7 +39,7 @@ from gocledger.operators import (
 )
 from gocledger.params import LedgerParams
 from gocledger.session import cut_lineage, cut_lineage_counted, remove_path, run_folder
-from gocledger.sources import binding, fixture, sinks
+from gocledger.sources import binding, fixture, sinks, store
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
 
@@ -337,6 +338,33 @@ class Ledger:
             self.release()
         return {name: written[name] for names in self.LAYERS.values() for name in names}
 
+    def findings(self, tests: list[quality.DataTest] | None = None) -> dict[str, int]:
+        """Failures by validator (V1-V8) and by data test (``model.columns test``): 0 where all is well."""
+        found = {r.validation: r.fail_count for r in self.val_summary.collect()}
+        for r in self.data_tests(tests).collect():
+            found[f"{r.model}.{r.column_name} {r.test_name}"] = r.failures
+        return found
+
+    def publish_audited(self, base: str, *, tolerate: Iterable[str] = (), tests: list[quality.DataTest] | None = None,
+                        release_scratch: bool = False) -> int:
+        """Write, audit, publish: every model into a fresh folder, the validators and data tests
+        over the written tables, then one atomic commit; the new version's number.
+
+        Raises :class:`~gocledger.sources.store.PublishRejected` (and publishes nothing)
+        if any finding is not named in ``tolerate``.  Read it back with
+        :class:`~gocledger.sources.store.VersionedStore`."""
+        out = store.VersionedStore(self.spark, base)
+        folder = out.new_folder()
+        written = self.publish(f"{out.base}/{folder}", release_scratch=release_scratch)
+        found = self.findings(tests)
+        store.audited(found, tolerate)
+        models = {}
+        for name, path in written.items():
+            at = path[len(out.base) + 1:]
+            parted = bool(sinks.LEDGER_PARTITIONING.get(name))
+            models[name] = out.entry(self.model(name), [{"path": at, "partitions": out.partitions(at) if parted else None}])
+        return out.commit(models, audit=found)
+
     _SCRATCH_NODES = ("treaty_movement_table", "_goc_periods_counted", "goc_periods", "goc_period_rows",
                       "_retro_treaties_counted", "retro_treaties", "retro_treaty_rows")
 

@@ -72,6 +72,58 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(jpath.getFileSystem(jsc.hadoopConfiguration()).delete(jpath, True))
 
 
+class FileSystem:
+    """The few calls on the cluster's file system that publishing needs (Hadoop API)."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._gateway, self._jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(path).getFileSystem(self._conf)
+
+    def _path(self, path: str):
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def list(self, folder: str) -> list[str]:
+        """Names in a folder; none if there is no such folder."""
+        at = self._path(folder)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
+
+    def read(self, path: str) -> bytes:
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+
+    def write(self, path: str, data: bytes) -> None:
+        stream = self._fs.create(self._path(path), False)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
+
+    def rename_if_absent(self, source: str, target: str) -> bool:
+        """Atomic rename; False (and nothing done) if the target is there already."""
+        from py4j.protocol import Py4JJavaError
+
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        no_overwrite = self._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(self._path(source), self._path(target), no_overwrite)
+            return True
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+
+    def delete(self, path: str) -> bool:
+        return bool(self._fs.delete(self._path(path), True))
+
+
+def file_system(spark: SparkSession, path: str) -> FileSystem:
+    return FileSystem(spark, path)
+
+
 def run_folder(spark: SparkSession, run: str | None = None) -> str:
     """Where a run's lineage-cut tables lie (default: this process's run)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gocledger/{run or RUN}"
