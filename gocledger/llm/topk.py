@@ -286,15 +286,16 @@ def top_k(vectors: DataFrame, is_query: Column, scratch: Scratch, *, k: int = K,
                            T.StructField("ints", T.ArrayType(T.LongType())), T.StructField("bound", T.DoubleType()),
                            T.StructField("needs", T.DoubleType())])
     bounded = table.where("query").select("rid", "vec_id", "ints", "norm").mapInArrow(_first_bounds(seeds, k), schema)
-    per_block = max(1, math.ceil(n_queries * longest * 8 / block_bytes))
+    ranges = max(1, math.ceil(n_queries * longest * 8 / block_bytes))
     most = max(1, block_bytes // (8 * max(1, longest)))
     queries = scratch.cut(
-        bounded.repartitionByRange(per_block, "needs", F.xxhash64("rid"))
-        .withColumn("part", F.spark_partition_id().cast("long"))
-        # Range bounds are sampled, so a partition may hold more than a block: it is cut by position.
-        .withColumn("seq", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-        .select("rid", "vec_id", "ints", "bound", "needs", (F.col("part") * (1 << 31) + F.floor(F.col("seq") / most)).alias("block")),
-        "topk-queries")
+        bounded.repartitionByRange(ranges, "needs", F.xxhash64("rid")).sortWithinPartitions("needs")
+        .select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "topk-queries")
+    # Blocks follow a query's place in that order, not the (sampled) ranges: one row per range decides the places.
+    starts = queries.groupBy("part").agg(F.min("at").alias("start"), F.count(F.lit(1)).alias("rows"))
+    shift = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("start")
+    queries = (queries.join(starts.select("part", shift.alias("shift")), "part")
+               .withColumn("block", F.floor((F.col("at") + F.col("shift")) / most).cast("long")))
 
     lengths = table.groupBy("chunk").agg(F.max("norm").alias("norm"))  # at most MAX_CHUNKS rows
     pairs = scratch.cut(
