@@ -30,6 +30,10 @@ Each cashflow row (INIT_RECOG or VARIANCE of a treaty at a date) emits:
 * CLOSING — once per treaty x date: the sum of all of the above at 6 decimals,
   cast last; proxy and state of the VARIANCE row.
 
+With ``params.carry_release`` the releases reach the next OPENING: its CSM and
+proxy are net of what has been released so far, the release is taken from that net
+proxy, and a CSM that melts away uses up the releases (see ``_with_kept_release``).
+
 Pro-rata amounts multiply first and divide last, at DECIMAL(38,6), so the
 result stays exact whatever the size of the GoC balances.
 """
@@ -38,6 +42,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gocledger import schema as S
 from gocledger.functions import (
@@ -83,6 +88,44 @@ def _out(step: str, proxy, cf, csm, lc, state) -> F.Column:
     )
 
 
+def _net_proxy(proxy: F.Column, kept: F.Column) -> F.Column:
+    """An opening proxy less what has been released of it; a proxy that is no CSM stays."""
+    return F.when(proxy < 0, F.least(precise(F.lit(0)), precise(proxy + kept))).otherwise(precise(proxy))
+
+
+def _release(due: F.Column, state: F.Column, proxy: F.Column, ratio: F.Column) -> F.Column:
+    return F.when(due & (state == S.PROFITABLE) & (proxy < 0), precise(F.abs(proxy) * ratio)).otherwise(precise(F.lit(0)))
+
+
+def _with_kept_release(ev: DataFrame, params: LedgerParams) -> DataFrame:
+    """``kept``: what has been released of a treaty's CSM before each row and not been used up since.
+
+    A release is a fraction of the CSM that earlier releases left, and what is kept
+    never exceeds the gross CSM of the quarter's end, so a CSM that melts away takes
+    the releases with it: the state depends on the path, and no running sum gives it.
+    Each treaty's rows (a few per quarter of its life) are folded in order; they are
+    gathered by the partitioning that the windows have made already."""
+    zero = precise(F.lit(0))
+    names = [c for c in ev.columns if c != "treaty_id"]
+    order = ["reporting_date", "step_order"]
+    rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in names if c not in order])))
+
+    def step(acc: F.Column, r: F.Column) -> F.Column:
+        proxy = F.when(r["has_roll"], _net_proxy(r["roll_proxy"], acc["kept"])).otherwise(zero)
+        rel = F.coalesce(_release(r["has_release"], r["g_var_state"], proxy,
+                                  release_ratio(r["reporting_quarter"], params.release_ratios)), zero)
+        end = F.least(precise(acc["kept"] + rel), F.greatest(precise(r["after_cum"]), zero))
+        return F.struct(F.when(r["aoc_step"] == S.VARIANCE, end).otherwise(acc["kept"]).alias("kept"),
+                        F.concat(acc["before"], F.array(acc["kept"])).alias("before"))
+
+    start = F.struct(zero.alias("kept"), F.array().cast(T.ArrayType(S.PRECISE)).alias("before"))
+    folded = ev.groupBy("treaty_id").agg(rows.alias("rows")).select(
+        "treaty_id", "rows", F.aggregate("rows", start, step, lambda acc: acc["before"]).alias("before"))
+    each = folded.select("treaty_id", F.explode(F.arrays_zip("rows", "before")).alias("x"))
+    return each.select("treaty_id", *[F.col(f"x.rows.{c}").alias(c) for c in names if c not in ("after_cum", "step_order")],
+                       F.col("x.before").alias("kept"))
+
+
 def treaty_bs_state(
     treaty_movement: DataFrame,
     goc_periods: DataFrame,
@@ -142,25 +185,34 @@ def treaty_bs_state(
         pro_rata(step_lc, F.col("amount"), step_cf).alias("move_lc"),
         F.coalesce(has_roll, F.lit(False)).alias("has_roll"), prev_var_cum.alias("roll_cf"),
         roll_proxy.alias("roll_proxy"), F.col("p_state").alias("roll_state"),
+        *([F.col("cum").alias("after_cum"), F.col("aoc_order").alias("step_order")] if params.carry_release else []),
     )
 
     # -- OPENING choice and CSM release (one OPENING per treaty x date; roll-forward wins)
     roll_at_date = F.max(F.col("has_roll").cast("int")).over(by_date) == 1
     first_at_date = (F.col("init_q1_at_date") == 1) & ~roll_at_date
     ratio = release_ratio(F.col("reporting_quarter"), params.release_ratios)
-    open_proxy = F.when(F.col("has_roll"), F.col("roll_proxy")).otherwise(zero)
     ev = ev.select(
         "*",
         (is_init & first_at_date).alias("has_first"),
         (is_var & F.col("has_move") & ratio.isNotNull() & (F.col("has_roll") | first_at_date)).alias("has_release"),
+    )
+    if params.carry_release:
+        ev = _with_kept_release(ev, params)
+        kept = F.col("kept")
+        net_proxy = _net_proxy(F.col("roll_proxy"), kept)
+    else:
+        kept, net_proxy = zero, F.col("roll_proxy")
+    open_proxy = F.when(F.col("has_roll"), net_proxy).otherwise(zero)
+    ev = ev.select(
+        "*",
         open_proxy.alias("open_proxy"),
-        F.when((F.col("g_var_state") == S.PROFITABLE) & (open_proxy < 0),
-               precise(F.abs(open_proxy) * ratio)).otherwise(precise(zero)).alias("rel_csm"),
+        _release(F.col("has_release"), F.col("g_var_state"), open_proxy, ratio).alias("rel_csm"),
     )
 
     # -- CLOSING: per treaty x date sums over the rows above (same partitioning)
     roll_cf = F.when(F.col("has_roll"), F.col("roll_cf")).otherwise(zero)
-    roll_csm = F.when(F.col("has_roll"), csm_balance(F.col("roll_cf"))).otherwise(zero)
+    roll_csm = F.when(F.col("has_roll"), csm_balance(F.col("roll_cf")) + kept).otherwise(zero)
     roll_lc = F.when(F.col("has_roll"), lc_balance(F.col("roll_cf"))).otherwise(zero)
     mv = F.col("has_move")
     cf_part = roll_cf + F.when(mv, F.col("amount")).otherwise(zero)
@@ -184,8 +236,8 @@ def treaty_bs_state(
     null_state = F.lit(None).cast("string")
     rows = F.array(
         F.when(F.col("has_first"), _out(S.OPENING, zero, zero, zero, zero, null_state)),
-        F.when(F.col("has_roll"), _out(S.OPENING, F.col("roll_proxy"), F.col("roll_cf"),
-                                       csm_balance(F.col("roll_cf")), lc_balance(F.col("roll_cf")),
+        F.when(F.col("has_roll"), _out(S.OPENING, F.col("open_proxy"), F.col("roll_cf"),
+                                       csm_balance(F.col("roll_cf")) + kept, lc_balance(F.col("roll_cf")),
                                        F.col("roll_state"))),
         F.when(mv, F.struct(
             step.alias("aoc_step"),

@@ -27,9 +27,18 @@ class LedgerParams:
         shuffled instead.
     salt_buckets
         number of salt buckets for the shuffled fallback join.
+    carry_release
+        CSM releases reach the next OPENING (net balances); by default every OPENING
+        is the gross cumulative, whatever has been released.
+    treaty_buckets
+        write the treaty-scale tables (treaty master, cashflows, treaty movements) in
+        this many buckets of the treaty id, so that the movement join and the ledger's
+        windows need no exchange; None: plain tables.
     """
 
     release_ratios: dict[int, Decimal] = field(default_factory=_default_ratios)
     tolerance: Decimal = Decimal("0.01")
     broadcast_max_bytes: int = 32 << 20
     salt_buckets: int = 64
+    carry_release: bool = False
+    treaty_buckets: int | None = None

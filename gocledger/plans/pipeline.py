@@ -68,6 +68,16 @@ class Ledger:
         # write the retro movements once when several validators read them
         self.materialize_retro = materialize_retro
 
+    #: Raw tables that grow with the treaties and are joined or aggregated by treaty.
+    TREATY_TABLES = ("treaty_master", "cashflow_input")
+
+    @classmethod
+    def _bucketed(cls, spark: SparkSession, df: DataFrame, name: str, buckets: int, written: list[str]) -> DataFrame:
+        path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        written.append(path)
+        sort_by = [c for c in ("reporting_date", "aoc_step") if c in df.columns]
+        return sinks.write_bucketed(df, path, by="treaty_id", buckets=buckets, sort_by=sort_by)
+
     # -- constructors ---------------------------------------------------------
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, materialize_raw: bool = False, **kw) -> Ledger:
@@ -76,8 +86,12 @@ class Ledger:
         consumers read them instead of re-deriving them from ``lineitem``."""
         raw = binding.bind(spark, sf_dir)
         written: list[str] = []
+        buckets = kw["params"].treaty_buckets if kw.get("params") else None
         if materialize_raw:
-            raw = {name: cut_lineage(df, f"raw_{name}", written) for name, df in raw.items()}
+            raw = {name: cut_lineage(df, f"raw_{name}", written) for name, df in raw.items()
+                   if not (buckets and name in cls.TREATY_TABLES)} | {
+                name: cls._bucketed(spark, raw[name], f"raw_{name}", buckets, written)
+                for name in cls.TREATY_TABLES if buckets}
         led = cls(spark, raw, **kw)
         led.raw_scratch.extend(written)
         return led
@@ -130,7 +144,12 @@ class Ledger:
     @cached_property
     def treaty_movement_table(self) -> DataFrame:
         """M1 written once: both the GoC state and the treaty ledger read it, so
-        the cashflow source (``lineitem`` in the binding) is scanned once per run."""
+        the cashflow source (``lineitem`` in the binding) is scanned once per run.
+        In buckets of the treaty id if the run asks for them (``treaty_buckets``): the
+        ledger's windows then read it without an exchange."""
+        if self.params.treaty_buckets:
+            return self._bucketed(self.spark, self.int_treaty_quarterly_movement, "treaty_movement",
+                                  self.params.treaty_buckets, self.scratch)
         return cut_lineage(self.int_treaty_quarterly_movement, "treaty_movement", self.scratch)
 
     # -- GoC state (G1-G15) ----------------------------------------------------
@@ -372,6 +391,8 @@ class Ledger:
         """Delete the intermediate lineage-cut tables this ledger wrote and
         forget the nodes built on them (recomputed if asked for again).  The
         materialised raw inputs (``raw_scratch``) stay: ``raw`` reads them."""
+        if self.params.treaty_buckets:
+            sinks.drop_bucketed(self.spark, self.scratch)
         for path in self.scratch:
             remove_path(self.spark, path)
         self.scratch.clear()

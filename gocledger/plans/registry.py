@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from gocledger import schema as S
 from gocledger.functions import money, state_of
 from gocledger.operators import quality, treaty_state, validate
+from gocledger.params import LedgerParams
 from gocledger.plans.pipeline import Ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +151,11 @@ def treaty_csm_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
         "treaty_id", "reporting_date", "aoc_step", "treaty_csm_proxy")
 
 
+def int_treaty_bs_state_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The treaty ledger with releases carried into the next OPENING."""
+    return Ledger.from_driver(spark, sf_dir, params=LedgerParams(carry_release=True)).int_treaty_bs_state
+
+
 def treaty_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treaty_state.treaty_cumulative(_ledger(spark, sf_dir).int_treaty_quarterly_movement)
 
@@ -208,6 +214,7 @@ def queries() -> dict[str, Query]:
     q["goc_at_closing"] = _goc_snapshot(S.CLOSING)
     q["treaty_csm_proxy"] = treaty_csm_proxy
     q["treaty_cumulative"] = treaty_cumulative
+    q["int_treaty_bs_state_carried"] = int_treaty_bs_state_carried
     q["treaty_opening"] = _step_filter("int_treaty_bs_state", S.OPENING)
     q["treaty_movement_allocation"] = _step_filter("int_treaty_bs_state", S.INIT_RECOG, S.VARIANCE)
     q["csm_release"] = _step_filter("int_treaty_bs_state", S.CSM_RELEASE)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -42,6 +43,30 @@ def save_as_table(df: DataFrame, name: str, *, layer: str | None = None, partiti
     return full
 
 
+def write_bucketed(df: DataFrame, path: str, *, by: str, buckets: int, sort_by: Sequence[str] = ()) -> DataFrame:
+    """A table at ``path`` in ``buckets`` buckets of ``by``, one file a bucket, sorted within; read back.
+
+    Rows that are partitioned so already are written as they lie: Spark leaves out a
+    repartition that changes nothing.  Buckets are known to the catalog only, so the
+    table is entered there under a name of its own (``drop_bucketed`` removes it)."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(buckets, by).sortWithinPartitions(by, *sort_by)
+     .write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, by).sortBy(by, *sort_by).saveAsTable(name))
+    return spark.table(name).select(*df.columns)
+
+
+def drop_bucketed(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Take the bucketed tables at these paths out of the catalog (their files stay)."""
+    gone = {p.removeprefix("file:").rstrip("/") for p in paths}
+    for t in spark.catalog.listTables():
+        if t.name.startswith("bucketed_"):
+            row = spark.sql(f"DESCRIBE TABLE EXTENDED {t.name}").where("col_name = 'Location'").first()
+            if row is not None and row.data_type.removeprefix("file:").rstrip("/") in gone:
+                spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
 LEDGER_PARTITIONING = {
     "int_treaty_bs_state": ("reporting_date",),
     "mart_treaty_aoc_quarterly": ("reporting_date",),

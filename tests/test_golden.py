@@ -142,3 +142,42 @@ def test_golden_matches_sql_oracle(spark):
     names = ["int_goc_bs_state", "int_treaty_bs_state", "int_retro_quarterly_movement", "int_retro_bs_state",
              "mart_goc_aoc_quarterly", "mart_goc_annual_summary", "mart_annual_aoc_detail", "mart_pnl_quarterly"]
     assert brute_force_mismatches(spark, led, names) == {}
+
+
+def test_carried_release(spark):
+    """Releases reach the next OPENING (values by hand).  A1: Q2 opens at proxy -52,000 and releases 55 % =
+    28,600; Q3 opens at -47,000 + 28,600; Q4 opens at -40,000 + 28,600 = -11,400 and releases 45 % = 5,130; the
+    balance left is -34,000 + 33,730.  A2 likewise: 19,800, then -8,200 x 45 % = 3,690, left -25,000 + 23,490."""
+    from gocledger.params import LedgerParams
+    from gocledger.plans.pipeline import Ledger
+    df = Ledger.golden(spark, params=LedgerParams(carry_release=True)).int_treaty_bs_state
+    got = {(r.treaty_id, r.reporting_quarter, r.aoc_step): r for r in df.collect()}
+    assert len(got) == 105
+    want = {("TRT_A1", 2, "OPENING"): "-52000.00", ("TRT_A1", 2, "CSM_RELEASE"): "28600.00", ("TRT_A1", 2, "CLOSING"): "-18400.00",
+            ("TRT_A1", 3, "OPENING"): "-18400.00", ("TRT_A1", 3, "CLOSING"): "-11400.00",
+            ("TRT_A1", 4, "OPENING"): "-11400.00", ("TRT_A1", 4, "CSM_RELEASE"): "5130.00", ("TRT_A1", 4, "CLOSING"): "-270.00",
+            ("TRT_A2", 3, "OPENING"): "-13200.00", ("TRT_A2", 4, "OPENING"): "-8200.00", ("TRT_A2", 4, "CSM_RELEASE"): "3690.00",
+            ("TRT_A2", 4, "CLOSING"): "-1510.00", ("TRT_D1", 4, "CSM_RELEASE"): "3150.00", ("TRT_B1", 2, "CSM_RELEASE"): "0.00"}
+    assert {k: got[k].csm_amount for k in want} == {k: D(v) for k, v in want.items()}
+    assert got["TRT_A1", 4, "CSM_RELEASE"].treaty_csm_proxy == D("-11400.00")
+
+
+def test_carried_release_is_used_up_by_a_melting_csm(spark):
+    """What a loss has eaten cannot come back as released: the kept release is capped by the gross CSM."""
+    import datetime as dt
+
+    from gocledger import schema as S
+    from gocledger.params import LedgerParams
+    from gocledger.plans.pipeline import Ledger
+    q = [dt.date(2026, 3, 31), dt.date(2026, 6, 30), dt.date(2026, 9, 30), dt.date(2026, 12, 31)]
+    cash = [("T", q[0], "INIT_RECOG", D(1000)), ("T", q[0], "VARIANCE", D(0)), ("T", q[1], "VARIANCE", D(0)),
+            ("T", q[2], "VARIANCE", D(-900)), ("T", q[3], "VARIANCE", D(500))]
+    raw = {"goc_master": spark.createDataFrame([("G", "ASSUMED", "PROFITABLE", "x")], S.GOC_MASTER),
+           "treaty_master": spark.createDataFrame([("T", "ASSUMED", "G", dt.date(2026, 1, 1))], S.TREATY_MASTER),
+           "retro_link": spark.createDataFrame([], S.RETRO_LINK), "cashflow_input": spark.createDataFrame(cash, S.CASHFLOW_INPUT),
+           "assumption_version": spark.createDataFrame([("V1", "x", q[0])], S.ASSUMPTION_VERSION)}
+    df = Ledger(spark, raw, params=LedgerParams(carry_release=True)).int_treaty_bs_state
+    got = {(r.reporting_quarter, r.aoc_step): r.csm_amount for r in df.collect()}
+    # Q2 releases 550 of 1,000; Q3 leaves a gross CSM of 100, so 100 of the 550 are kept and Q4 opens at 0
+    assert got[2, "CSM_RELEASE"] == D(550) and got[3, "OPENING"] == D(-450)
+    assert got[4, "OPENING"] == D(0) and got[4, "CSM_RELEASE"] == D(0)

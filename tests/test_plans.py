@@ -45,15 +45,6 @@ def test_bound_data_has_all_state_transitions(spark):
     assert {(a, b) for a in both for b in both} <= {tuple(r) for r in moves}
 
 
-def test_suite_joins_losses_to_links_once(spark):
-    """The retro movements are written once: no check re-derives them from the ledger."""
-    from gocledger.plans import registry
-    df = registry.dq_test_summary(spark, SF)
-    p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert not [x for x in p.splitlines() if "Join Inner" in x and "assumed_treaty_id" in x]
-    assert any("retro_movement-" in f for f in df.inputFiles())
-
-
 def test_ledger_beyond_broadcast_bound_keeps_one_treaty_exchange(spark):
     from gocledger.params import LedgerParams
     wide = Ledger.from_driver(spark, SF, params=LedgerParams(broadcast_max_bytes=0))
@@ -100,3 +91,41 @@ def test_quarterly_mart_joins_goc_dimension_once(led):
     goc_joins = [line for line in p.splitlines() if "Join Inner" in line and "(goc_id#" in line
                  and "reporting_date" not in line]
     assert len(goc_joins) == 1, goc_joins
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def by_treaty(text: str) -> list[str]:
+    return [k for k in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if "treaty_id" in k]
+
+
+def test_bucketed_tables_share_one_treaty_layout(spark, no_broadcast):
+    """One treaty-scale exchange, the one that writes the cashflows' buckets: neither the join with the
+    treaty master, nor the movements' own buckets, nor the ledger's windows shuffle treaties again."""
+    from gocledger.params import LedgerParams
+    from gocledger.sources import binding
+    cash = binding.bind(spark, SF)["cashflow_input"]
+    assert len(by_treaty(plan(cash.repartition(8, "treaty_id")))) == 1
+    led = Ledger.from_driver(spark, SF, materialize_raw=True, params=LedgerParams(treaty_buckets=8))
+    m1 = plan(led.int_treaty_quarterly_movement)
+    assert "SortMergeJoin" in m1 and not by_treaty(m1)
+    assert not by_treaty(plan(led.int_treaty_quarterly_movement.repartition(8, "treaty_id")))
+    ledger = plan(led.int_treaty_bs_state)
+    assert "Window" in ledger and "SelectedBucketsCount: 8 out of 8" in ledger and not by_treaty(ledger)
+    plain = Ledger.from_driver(spark, SF).int_treaty_bs_state
+    assert sorted(map(str, led.int_treaty_bs_state.collect())) == sorted(map(str, plain.collect()))
+    names = {t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")}
+    led.release()
+    assert len(names) - len({t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")}) == 1
+
+
+def test_carried_release_adds_no_exchange(spark, no_broadcast):
+    from gocledger.params import LedgerParams
+    led = Ledger.from_driver(spark, SF, params=LedgerParams(carry_release=True))
+    assert len(by_treaty(plan(led.int_treaty_bs_state))) == 1
