@@ -6,15 +6,19 @@ centroids; a text takes the language of the centroid with the largest cosine and
 is marked as rejected when it lies farther from it than almost all of the
 centroid's own texts.
 
-The fit sees at most ``fit_rows`` vectors of fixed width, chosen by a seeded hash
-of doc_id and made by the executors; prediction is a narrow map over whole texts
-with a broadcast model of (languages x clusters x DIMS) floats.
+The document frequencies of the grams are counted over all labelled texts (sums of
+fixed width, one per task).  Only the centroids are fitted on a sample: about
+``fit_rows`` vectors of fixed width, the same number of every language and at least
+one, chosen by a seeded hash of doc_id and made by the executors.  No language is
+left out, so the sample has max(fit_rows, languages) rows at most, and the model
+that prediction broadcasts no more centroids than that (16 KB each).  Prediction is
+a narrow map over whole texts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +33,8 @@ DIMS = 4096
 CLUSTERS = 3
 FIT_ROWS = 4000
 ROUNDS = 12
+#: Languages up to which their table of counts is broadcast (a name and two numbers each).
+BROADCAST_LANGS = 20_000
 #: Part of a centroid's own texts that may lie beyond the rejection distance.
 REJECT = 0.005
 UNDETERMINED = "und"
@@ -73,9 +79,16 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.where(n > 0, n, 1)
 
 
-def fit(counts: np.ndarray, langs: Sequence[str], clusters: int = CLUSTERS, seed: int = SEED) -> Model:
-    """Model of labelled gram counts."""
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
+def idf_of(n: int, frequencies: np.ndarray) -> np.ndarray:
+    """Smoothed inverse document frequency of every gram slot, from ``n`` texts."""
+    return (np.log((1 + n) / (1 + frequencies)) + 1).astype(np.float32)
+
+
+def fit(counts: np.ndarray, langs: Sequence[str], clusters: int = CLUSTERS, seed: int = SEED,
+        idf: np.ndarray | None = None) -> Model:
+    """Model of labelled gram counts; ``idf``: of the whole corpus (default: of these counts)."""
+    if idf is None:
+        idf = idf_of(len(counts), (counts > 0).sum(axis=0))
     x = _unit(np.log1p(counts) * idf)
     names = np.array(langs)
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -97,26 +110,46 @@ def fit(counts: np.ndarray, langs: Sequence[str], clusters: int = CLUSTERS, seed
     return Model(idf, np.stack(cents) if cents else np.zeros((0, width), np.float32), owners, np.array(least))
 
 
+def document_frequencies(texts: DataFrame) -> np.ndarray:
+    """The IDF of every gram slot over a whole column of texts (column ``text``, no nulls)."""
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = np.zeros(DIMS + 1, dtype=np.int64), 0
+        for batch in batches:
+            for t in batch.column(0):
+                found[:DIMS] += gram_counts(t.as_py()) > 0
+            n += len(batch)
+        found[DIMS] = n  # the last slot counts texts
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS + 1, dtype=np.int32)), pa.array(found)], names=["slot", "n"])
+
+    per_slot = texts.mapInArrow(sums, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(DIMS + 1, dtype=np.int64)
+    total[per_slot.column("slot").to_numpy()] = per_slot.column("n").to_numpy()
+    return idf_of(int(total[DIMS]), total[:DIMS])
+
+
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS,
           clusters: int = CLUSTERS, seed: int = SEED) -> Model:
-    """Model learned from at most about ``fit_rows`` rows of ``docs`` with a label and a letter,
-    the same number of each language as far as there are (smallest seeded hashes first).
+    """Model learned from the rows of ``docs`` with a label and a letter: document frequencies
+    from all of them, centroids from about ``fit_rows``, the same number of each language as far
+    as there are and one at least (smallest seeded hashes first).
 
     Rows with a null label or text do not count; without any usable row the model is empty.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"),
         ((F.xxhash64(F.lit(seed), F.col(doc_id), F.xxhash64(F.col(text))) / F.lit(float(1 << 63))) / 2 + 0.5).alias("u"))
-    sizes = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(fit_rows).collect()]
-    if not sizes:
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    n_langs = sizes.count()
+    if not n_langs:
         return fit(np.zeros((0, DIMS), np.float32), [])
-    each = max(1, fit_rows // len(sizes))
-    # Twice the share, then the exact number by rank: the window sees about 2 * fit_rows rows.
-    chance = F.lit(0.0)
-    for name, n in sizes:
-        chance = F.when(F.col("lang") == name, F.lit(2.0 * each / n + 1e-6)).otherwise(chance)
-    some = rows.where(F.col("u") < chance)
+    each = max(1, fit_rows // n_langs)
+    # Twice the share, then the exact number by rank: the window sees about 2 * fit_rows rows.  The
+    # first of each language is taken in any case.
+    share = sizes.select("lang", (F.lit(2.0 * each) / F.col("n") + 1e-6).alias("share"))
+    first = rows.groupBy("lang").agg(F.min("u").alias("first"))
+    share = share.join(first, "lang")
+    met = rows.join(F.broadcast(share) if n_langs <= BROADCAST_LANGS else share, "lang")
+    some = met.where((F.col("u") < F.col("share")) | (F.col("u") == F.col("first"))).drop("share", "first")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("u"))
     picked = some.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "text", "u")
 
@@ -127,7 +160,7 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     order = np.argsort(got.column("u").to_numpy(), kind="stable")
     counts = np.frombuffer(b"".join(got.column("grams").to_pylist()), dtype=np.float32).reshape(-1, DIMS)
     langs = got.column("lang").to_pylist()
-    return fit(counts[order], [langs[i] for i in order], clusters, seed)
+    return fit(counts[order], [langs[i] for i in order], clusters, seed, document_frequencies(rows.select("text")))
 
 
 ADDED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),

@@ -87,6 +87,45 @@ def test_languages_are_told_apart(spark):
     assert strange.lang_pred in LANGS and strange.rejected
 
 
+def test_two_thousand_languages(spark):
+    """Every language is learned, whatever the sample's size."""
+    def text(i):
+        rng = random.Random(i)
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 8))) for _ in range(25))
+    df = docs(spark, [(i, text(i), f"l{i:04d}") for i in range(2000)] + [(9000 + i, text(7), "l0007") for i in range(3)])
+    model = langid.train(df, fit_rows=500)
+    assert len(set(model.langs)) == len(model.langs) == 2000
+    out = langid.predict(df.where("doc_id % 20 = 0"), model).collect()
+    assert len(out) >= 100 and all(r.lang_pred == f"l{r.doc_id:04d}" for r in out if r.doc_id < 9000)
+
+
+def test_prediction_is_the_nearest_centroid(spark):
+    """Against plain Python: byte 3-grams, IDF over all learnable texts, cosine with every centroid."""
+    import math
+    from collections import Counter
+    rows = [(i, speech(list(LANGS)[i % 3], i, 12), list(LANGS)[i % 3]) for i in range(60)]
+
+    def grams(text):
+        data, out = text.encode().lower(), Counter()
+        flat = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in data)
+        for i in range(len(flat) - 2):
+            g = flat[i:i + 3]
+            if b"  " not in g:
+                out[((int.from_bytes(g, "big") * 2654435761) % (1 << 32)) >> 20] += 1
+        return out
+
+    model = langid.train(docs(spark, rows), fit_rows=20)
+    df = Counter(k for _, t, _ in rows for k in grams(t))
+    idf = [math.log((1 + len(rows)) / (1 + df[k])) + 1 for k in range(langid.DIMS)]
+    assert np.allclose(model.idf, idf, atol=1e-5)
+    for r in langid.predict(docs(spark, rows + [(99, "zz yy xx ww")]), model).collect():
+        v = {k: math.log1p(n) * idf[k] for k, n in grams(r.text).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cos = [sum(x * float(c[k]) for k, x in v.items()) / norm for c in model.centroids]
+        best = max(range(len(cos)), key=lambda i: cos[i])
+        assert abs(r.score - max(0.0, cos[best])) < 1e-4 and (r.lang_pred == model.langs[best] or abs(cos[best] - cos[model.langs.index(r.lang_pred)]) < 1e-4)
+
+
 def test_language_odd_rows(spark):
     model = langid.train(docs(spark, [(i, speech("aa", i), "aa") for i in range(5)] + [(9, speech("bb", 1), None), (10, None, "cc")]))
     assert set(model.langs) == {"aa"}
