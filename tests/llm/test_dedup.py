@@ -81,9 +81,157 @@ def test_a_shared_passage_stays_once(spark):
 
 def test_spans_edges(spark):
     assert spans.remove_repeated_spans(empty(spark)).count() == 0
-    same = spans.remove_repeated_spans(docs(spark, [(1, prose(1, 80)), (1, prose(1, 80)), (2, "short"), (3, "short")])
+    same = spans.remove_repeated_spans(docs(spark, [(1, prose(1, 80)), (1, prose(1, 80)), (2, "short"), (3, "short"), (4, ""), (5, None), (6, "..."), (7, "...")])
                                        .selectExpr("*", "1 as n_removed", "2 as __drop2")).collect()
-    assert sorted((r.doc_id, r.n_removed) for r in same) == [(1, 0), (1, 0), (2, 0), (3, 0)]
+    assert sorted((r.doc_id, r.n_removed) for r in same) == [(1, 0), (1, 0), (2, 0), (3, 1), (4, 0), (5, 0), (6, 0), (7, 0)]
+
+
+STOPS = "。！？．｡।؟۔"
+
+
+def own_pieces(text):
+    """[(text, words, sentence number)] character by character, without the module's segmentation."""
+    import zlib
+
+    def unspaced(c):
+        o = ord(c)
+        return 0xE00 <= o < 0xF00 or 0x1000 <= o < 0x10C0 or 0x1780 <= o < 0x1800 or 0x3040 <= o < 0xA000 or 0x20000 <= o < 0x40000
+
+    def in_word(c):
+        o = ord(c)
+        return c in "0123456789abcdefghijklmnopqrstuvwxyz" or (
+            o > 127 and not unspaced(c) and c not in STOPS and not 0x3000 <= o < 0x3040 and not 0xFF00 <= o < 0xFF80)
+
+    low, sentences, at = [c.lower() if c.isascii() else c for c in text], [], 0
+    i = 0
+    while i < len(low):
+        c, j = low[i], i + 1
+        if c in ".!?":
+            while j < len(low) and low[j].isascii() and not low[j].isalnum() and not low[j].isspace():
+                j += 1
+            if j == len(low) or low[j] not in " \t\n\r\x0b\x0c":
+                # marks may hold further stops: try from the next character
+                i += 1
+                continue
+        elif c in STOPS:
+            while j < len(low) and low[j] in STOPS:
+                j += 1
+        elif c not in "\r\n":
+            i += 1
+            continue
+        while j < len(low) and low[j] in " \t\n\r\x0b\x0c":
+            j += 1
+        sentences.append((at, j))
+        at = i = j
+    if at < len(low):
+        sentences.append((at, len(low)))
+    out = []
+    for k, (a, b) in enumerate(sentences):
+        words, i = [], a
+        while i < b:
+            if unspaced(low[i]):
+                words.append((i, i + 1))
+            elif in_word(low[i]):
+                j = i
+                while j < b and in_word(low[j]):
+                    j += 1
+                words.append((i, j))
+                i = j
+                continue
+            i += 1
+        begin, held = a, []
+        for n, (x, y) in enumerate(words):
+            held.append("".join(low[x:y]))
+            if n >= 8 and zlib.crc32(held[-1].encode()) % 4 == 0:
+                out.append((text[begin:y], held, k))
+                begin, held = y, []
+        if begin < b:
+            out.append((text[begin:b], held, k))
+    return out
+
+
+def own_runs(sizes, span=3, least=12):
+    """All (first, last) of sliding runs by their definition."""
+    full, out = [i for i, n in enumerate(sizes) if n], []
+    for k in range(len(full)):
+        for m in range(k + span - 1, len(full)):
+            if sum(sizes[i] for i in full[k:m + 1]) >= least:
+                out.append((k, m))
+                break
+    # a run is never shorter than the one before it
+    fixed, end = [], 0
+    for k, m in out:
+        end = max(end, m)
+        fixed.append((k, end))
+    if full and not fixed:
+        fixed = [(0, len(full) - 1)]
+    elif full and fixed[-1][1] < len(full) - 1:
+        k = max(k for k in range(len(full)) if len(full) - k >= span and sum(sizes[i] for i in full[k:]) >= least)
+        fixed.append((k, len(full) - 1))
+    return [(full[k], full[m]) for k, m in fixed]
+
+
+def own_removed(rows):
+    """{(doc, text): text left} by the definition, from plain lists."""
+    places, pieces = {}, {}
+    for d, t in sorted(set(rows)):
+        pieces[d, t] = p = own_pieces(t)
+        runs = set(own_runs([len(w) for _, w, _ in p]))
+        n = 1 + max((k for _, _, k in p), default=-1)
+        first = [min(i for i, x in enumerate(p) if x[2] == k) for k in range(n)]
+        last = [max((i for i, x in enumerate(p) if x[2] == k and x[1]), default=first[k]) for k in range(n)]
+        runs |= {(first[a], last[b]) for a, b in own_runs([sum(len(w) for _, w, j in p if j == k) for k in range(n)])}
+        for a, b in runs:
+            places.setdefault(tuple(w for _, ws, _ in p[a:b + 1] for w in ws), []).append((d, a, b, t))
+    gone = {}
+    for found in places.values():
+        top = min(x[:2] for x in found)
+        for d, a, b, t in found:
+            if (d, a) != top:
+                gone.setdefault((d, t), set()).update(range(a, b + 1))
+    return {k: "".join(x for i, (x, _, _) in enumerate(p) if i not in gone.get(k, ())) for k, p in pieces.items()}
+
+
+def test_spans_match_their_definition(spark):
+    """Own segmentation: short texts, tails, scripts without blanks, stops without blanks, headings."""
+    rng = random.Random(21)
+    han = "的一是不了人我在有他这为之大来以个中上们到说国和地也子时道出而要于就下得可你年生"
+    kana = "あいうえおかきくけこさしすせそたちつてと日本語"
+
+    def sentence():
+        kind = rng.randrange(6)
+        if kind == 0:
+            return "".join(rng.choice(han) for _ in range(rng.randrange(2, 14))) + rng.choice("。！？")
+        if kind == 1:
+            return "".join(rng.choice(kana) for _ in range(rng.randrange(2, 20))) + "。"
+        if kind == 2:
+            return rng.choice(["Heading\n", "- ", "x. ", "…", '"Yes!" ', "3.14 ", "e.g. ", "काम।", "कुछ और। "])
+        return " ".join(rng.choice(["Alpha", "béta", "gamma", "Ünder", "x1", "delta's", "naïve", "w"]) + str(rng.randrange(30))
+                        for _ in range(rng.randrange(1, 25))) + rng.choice([". ", "! ", ".\n", "?) "])
+
+    shared = ["".join(sentence() for _ in range(rng.randrange(2, 7))) for _ in range(8)]
+    rows = []
+    for i in range(70):
+        parts = [sentence() for _ in range(rng.randrange(0, 6))]
+        if i % 2:
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared))
+        rows.append((500 - i, "".join(parts)))
+    for n in range(1, 14):                                  # texts of 1 to 13 words, three times each
+        rows += [(1000 + 3 * n + k, " ".join(f"s{n}w{j}" for j in range(n))) for k in range(3)]
+    rows += [(2000 + k, "".join(kana[(7 * j + j // 5) % len(kana)] + ("。" if j % 9 == 8 else "") for j in range(270))) for k in range(2)]
+    rows += [(3000 + k, "x. " * 40) for k in range(2)]
+    out = {(r.doc_id, r.doc_id): r.text for r in spans.remove_repeated_spans(docs(spark, rows).repartition(4)).collect()}
+    want = own_removed(rows)
+    for d, t in rows:
+        assert out[d, d] == want[d, t], (d, t, want[d, t])
+    assert sum(out[d, d] == "" for d, _ in rows) >= 2 * 13 + 2 and any(out[d, d] not in ("", t) for d, t in rows)
+
+
+def test_string_ids_and_null_ids(spark):
+    t = prose(5, 60)
+    df = spark.createDataFrame([("b", t), ("a", t), (None, t), ("c", prose(6, 60))], "doc_id string, text string")
+    out = spans.remove_repeated_spans(df).collect()
+    assert {r.doc_id: r.text == "" for r in out} == {"a": False, "b": True, None: True, "c": False}
 
 
 # ------------------------------------------------------------------ lines
