@@ -64,16 +64,26 @@ _UNSPACED = (rb"\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\x
 _END = re.compile(rb"[.!?][^0-9a-z\x80-\xff\s]*\s+|(?:" + _STOPS + rb")+\s*|[\r\n]\s*")
 _WORD = re.compile(_UNSPACED + rb"|(?:[0-9a-z]+|(?!" + _STOPS + rb"|" + _UNSPACED + rb"|\xe3\x80|\xef[\xbc\xbd])"
                    rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}))+")
+#: Lead bytes without which none of the above can occur: then two plain patterns find the same.
+_SPECIAL = re.compile(rb"[\xd8\xdb\xe0\xe1\xe3-\xe9\xef\xf0]")
+_PLAIN_END = re.compile(rb"[.!?][^0-9a-z\x80-\xff\s]*\s+|[\r\n]\s*")
+_PLAIN_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+
+
+def _patterns(data: bytes) -> tuple[re.Pattern[bytes], re.Pattern[bytes]]:
+    """What ends a sentence, and what a word is, for this text."""
+    return (_END, _WORD) if _SPECIAL.search(data) else (_PLAIN_END, _PLAIN_WORD)
 
 
 def sentence_bounds(data: bytes) -> list[tuple[int, int]]:
     """Byte ranges of the pieces of a text; a range ends where the next begins, so that
     their concatenation is the text."""
-    cuts = [0, *(m.end() for m in _END.finditer(data)), len(data)]
+    end, word = _patterns(data)
+    cuts = [0, *(m.end() for m in end.finditer(data)), len(data)]
     out = []
     for a, b in zip(cuts[:-1], cuts[1:]):
         if b - a > 2 * LONG_WORDS:
-            for m in islice(_WORD.finditer(data, a, b), LONG_WORDS, None):
+            for m in islice(word.finditer(data, a, b), LONG_WORDS, None):
                 if crc32(m[0]) % CUT_EVERY == 0:
                     out.append((a, m.end()))
                     a = m.end()
@@ -87,10 +97,11 @@ def sentence_words(data: bytes) -> tuple[list[list[bytes]], list[int]]:
     and the number of the first piece of every sentence."""
     out: list[list[bytes]] = []
     begins: list[int] = []
-    segments = _END.split(data)
+    end, word = _patterns(data)
+    segments = end.split(data)
     for i, seg in enumerate(segments):
         last = i == len(segments) - 1
-        words = _WORD.findall(seg)
+        words = word.findall(seg)
         begins.append(len(out))
         if len(words) > LONG_WORDS and len(seg) + (not last) > 2 * LONG_WORDS:
             at = 0
