@@ -40,6 +40,8 @@ result stays exact whatever the size of the GoC balances.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,7 @@ from gocledger.functions import (
     release_ratio,
 )
 from gocledger.params import LedgerParams
+from gocledger.operators.allocation import to_the_cent
 from gocledger.operators.joins import bounded_broadcast_join, fits_broadcast
 
 # GoC values a treaty row needs, from the GoC row of the same date: its own
@@ -126,12 +129,26 @@ def _with_kept_release(ev: DataFrame, params: LedgerParams) -> DataFrame:
                        F.col("x.before").alias("kept"))
 
 
+def _handed_out(ev: DataFrame) -> DataFrame:
+    """Movement amounts in whole cents that add up to the GoC's step."""
+    shares = {}
+    for c in ("csm", "lc"):
+        shares[f"share_{c}"] = f"goc_{c}"
+        ev = ev.withColumn(f"share_{c}", F.when(F.col("has_move"), F.col(f"move_{c}")))
+    ev = to_the_cent(ev, shares, ["goc_id", "reporting_date", "aoc_step"], "treaty_id")
+    return ev.withColumns({f"move_{c}": F.coalesce(f"share_{c}", f"move_{c}") for c in ("csm", "lc")}).drop(
+        "share_csm", "share_lc", "goc_csm", "goc_lc")
+
+
 def treaty_bs_state(
     treaty_movement: DataFrame,
     goc_periods: DataFrame,
     goc_period_rows: int,
     params: LedgerParams = LedgerParams(),
+    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
+    """The ledger of all treaties.  ``cut`` writes rows that are read more than once (only
+    the allocation to the cent does)."""
     step = F.col("aoc_step")
     is_init, is_var = step == S.INIT_RECOG, step == S.VARIANCE
     zero = F.lit(0)
@@ -186,7 +203,10 @@ def treaty_bs_state(
         F.coalesce(has_roll, F.lit(False)).alias("has_roll"), prev_var_cum.alias("roll_cf"),
         roll_proxy.alias("roll_proxy"), F.col("p_state").alias("roll_state"),
         *([F.col("cum").alias("after_cum"), F.col("aoc_order").alias("step_order")] if params.carry_release else []),
+        *([money(step_csm).alias("goc_csm"), money(step_lc).alias("goc_lc")] if params.to_the_cent else []),
     )
+    if params.to_the_cent:
+        ev = _handed_out(cut(ev))
 
     # -- OPENING choice and CSM release (one OPENING per treaty x date; roll-forward wins)
     roll_at_date = F.max(F.col("has_roll").cast("int")).over(by_date) == 1

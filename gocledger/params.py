@@ -30,6 +30,9 @@ class LedgerParams:
     carry_release
         CSM releases reach the next OPENING (net balances); by default every OPENING
         is the gross cumulative, whatever has been released.
+    to_the_cent
+        hand out a GoC step's CSM and LC in whole cents by largest remainders, so that the
+        treaties' movements add up to the GoC's exactly.
     treaty_buckets
         write the treaty-scale tables (treaty master, cashflows, treaty movements) in
         this many buckets of the treaty id, so that the movement join and the ledger's
@@ -41,4 +44,5 @@ class LedgerParams:
     broadcast_max_bytes: int = 32 << 20
     salt_buckets: int = 64
     carry_release: bool = False
+    to_the_cent: bool = False
     treaty_buckets: int | None = None

@@ -175,7 +175,8 @@ class Ledger:
     @cached_property
     def int_treaty_bs_state(self) -> DataFrame:
         df = treaty_state.treaty_bs_state(
-            self._movements, self.goc_periods, self.goc_period_rows, self.params)
+            self._movements, self.goc_periods, self.goc_period_rows, self.params,
+            cut=lambda rows: cut_lineage(rows, "treaty_shares", self.scratch))
         return cut_lineage(df, "treaty_bs_state", self.scratch) if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------

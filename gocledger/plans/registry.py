@@ -156,6 +156,23 @@ def int_treaty_bs_state_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Ledger.from_driver(spark, sf_dir, params=LedgerParams(carry_release=True)).int_treaty_bs_state
 
 
+def _cent_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    return Ledger.from_driver(spark, sf_dir, params=LedgerParams(to_the_cent=True))
+
+
+def int_treaty_bs_state_cent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The treaty ledger with movements allocated to the cent."""
+    return _cent_ledger(spark, sf_dir).int_treaty_bs_state
+
+
+def val_treaty_goc_reconciliation_cent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 on the ledger allocated to the cent, without any tolerance: what is left are OPENINGs of GoCs whose
+    treaties have both signs; movements agree exactly."""
+    led = _cent_ledger(spark, sf_dir)
+    exact = LedgerParams(tolerance=Decimal(0))
+    return validate.val_treaty_goc_reconciliation(led.int_treaty_bs_state, led.int_goc_bs_state, exact)
+
+
 def treaty_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treaty_state.treaty_cumulative(_ledger(spark, sf_dir).int_treaty_quarterly_movement)
 
@@ -215,6 +232,8 @@ def queries() -> dict[str, Query]:
     q["treaty_csm_proxy"] = treaty_csm_proxy
     q["treaty_cumulative"] = treaty_cumulative
     q["int_treaty_bs_state_carried"] = int_treaty_bs_state_carried
+    q["int_treaty_bs_state_cent"] = int_treaty_bs_state_cent
+    q["val_treaty_goc_reconciliation_cent"] = val_treaty_goc_reconciliation_cent
     q["treaty_opening"] = _step_filter("int_treaty_bs_state", S.OPENING)
     q["treaty_movement_allocation"] = _step_filter("int_treaty_bs_state", S.INIT_RECOG, S.VARIANCE)
     q["csm_release"] = _step_filter("int_treaty_bs_state", S.CSM_RELEASE)
