@@ -2,12 +2,14 @@
 
     python -m gocledger run  --sf-dir /root/testdata/sf0.01 --out /shared/ledger
     python -m gocledger publish --sf-dir /root/testdata/sf0.01 --out /shared/versions
+    python -m gocledger rebuild --sf-dir /root/testdata/sf0.01 --out /shared/versions --first 2001-07-01
     python -m gocledger test --sf-dir /root/testdata/sf0.01
 
 ``run`` writes all models layer by layer (stg / int / val / mart) as parquet
 tables, in place.  ``publish`` writes them as the next version of a store that
 others read meanwhile: the version appears only when the validators and data
-tests of its written tables pass (``--tolerate`` names those that may fail).  ``test`` prints the validator summary and every failing declared data
+tests of its written tables pass (``--tolerate`` names those that may fail).  ``rebuild`` makes the quarters from a date
+on again and publishes them with the older quarters of the last version.  ``test`` prints the validator summary and every failing declared data
 test, and exits non-zero when anything fails.  Both use the active cluster
 session when there is one (``spark.checkpoint.dir`` must then be set) and a
 local session otherwise.
@@ -16,6 +18,7 @@ local session otherwise.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
@@ -40,6 +43,11 @@ def main(argv: list[str] | None = None) -> int:
     pub.add_argument("--sf-dir", required=True)
     pub.add_argument("--out", required=True)
     pub.add_argument("--tolerate", action="append", default=[], help="a validator or data test that may fail")
+    again = sub.add_parser("rebuild", help="publish the next version with the quarters from a date on made again")
+    again.add_argument("--sf-dir", required=True)
+    again.add_argument("--out", required=True)
+    again.add_argument("--first", required=True, help="a date in the first quarter to make again, YYYY-MM-DD")
+    again.add_argument("--tolerate", action="append", default=[], help="a validator or data test that may fail")
     test = sub.add_parser("test", help="validators and declared data tests")
     test.add_argument("--sf-dir", required=True)
     args = parser.parse_args(argv)
@@ -61,12 +69,20 @@ def _command(args: argparse.Namespace, spark: SparkSession, Ledger: type) -> int
             print(f"{name}\t{path}")
         return 0
 
-    if args.command == "publish":
-        from gocledger.sources.store import PublishRejected
+    if args.command in ("publish", "rebuild"):
+        from gocledger.plans.rebuild import QuarterRebuild
+        from gocledger.sources import binding
+        from gocledger.sources.store import PublishRejected, VersionedStore
 
-        led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True)
         try:
-            print(f"version {led.publish_audited(args.out, tolerate=args.tolerate, release_scratch=True)}")
+            if args.command == "publish":
+                led = Ledger.from_driver(spark, args.sf_dir, materialize_raw=True)
+                made = led.publish_audited(args.out, tolerate=args.tolerate, release_scratch=True)
+            else:
+                led = QuarterRebuild(spark, VersionedStore(spark, args.out), binding.bind(spark, args.sf_dir),
+                                     dt.date.fromisoformat(args.first))
+                made = led.publish_next(tolerate=args.tolerate)
+            print(f"version {made}")
             return 0
         except PublishRejected as e:
             for name, n in sorted(e.findings.items()):

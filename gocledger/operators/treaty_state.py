@@ -146,9 +146,13 @@ def treaty_bs_state(
     goc_period_rows: int,
     params: LedgerParams = LedgerParams(),
     cut: Callable[[DataFrame], DataFrame] = lambda df: df,
+    carry_in: DataFrame | None = None,
 ) -> DataFrame:
     """The ledger of all treaties.  ``cut`` writes rows that are read more than once (only
-    the allocation to the cent does)."""
+    the allocation to the cent does).  ``carry_in``: the treaties' balances at the end of the
+    quarter before the movements' first one (see :func:`treaty_balances`)."""
+    if carry_in is not None and params.carry_release:
+        raise ValueError("carried releases depend on the whole history: no carry-in")
     step = F.col("aoc_step")
     is_init, is_var = step == S.INIT_RECOG, step == S.VARIANCE
     zero = F.lit(0)
@@ -156,7 +160,14 @@ def treaty_bs_state(
 
     snapshot = _snapshot(goc_periods)
     ev = treaty_movement.filter(step.isin(*S.INPUT_STEPS)).withColumn("aoc_order", aoc_order(step)).select(
-        "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order", "amount")
+        "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order", "amount",
+        F.when(is_var, pidx).alias("var_period"))
+    if carry_in is not None:
+        # A treaty's past as one row ahead of its movements; it leaves again behind the windows over the past.
+        end = F.last_day(F.make_date(F.floor((F.col("period") - 1) / 4).cast("int"), ((F.col("period") - 1) % 4 * 3 + 3).cast("int"), F.lit(1)))
+        ev = ev.unionByName(carry_in.select(
+            "treaty_id", "goc_id", "treaty_type", end.alias("reporting_date"), F.quarter(end).alias("reporting_quarter"),
+            F.lit("CARRIED").alias("aoc_step"), F.lit(0).alias("aoc_order"), "amount", "var_period"))
 
     def with_goc(rows: DataFrame) -> DataFrame:
         return bounded_broadcast_join(
@@ -175,10 +186,12 @@ def treaty_bs_state(
         "*",
         F.sum("amount").over(by_treaty.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
         F.sum("amount").over(by_date).alias("period_cf"),
-        (pidx - F.last(F.when(is_var, pidx), ignorenulls=True)
+        (pidx - F.last("var_period", ignorenulls=True)
          .over(by_treaty.rowsBetween(Window.unboundedPreceding, -1))).alias("var_gap"),
         F.max((is_init & (F.col("reporting_quarter") == 1)).cast("int")).over(by_date).alias("init_q1_at_date"),
     )
+    if carry_in is not None:
+        ev = ev.filter(step.isin(*S.INPUT_STEPS))
     ev = with_goc(ev) if late else ev
 
     g_has_var = F.coalesce(F.col("g_has_var"), F.lit(False))
@@ -289,6 +302,27 @@ def treaty_bs_state(
     )
 
 
+def treaty_balances(treaty_movement: DataFrame, last_period: int, carry_in: DataFrame | None = None) -> DataFrame:
+    """(treaty_id, goc_id, treaty_type, period, amount, var_period): every treaty's gross cumulative at
+    the end of each quarter from its first movement to ``last_period`` (absolute quarters), and
+    the quarter of its last VARIANCE till then."""
+    pidx = period_index(F.col("reporting_date"))
+    ev = treaty_movement.filter(F.col("aoc_step").isin(*S.INPUT_STEPS)).select(
+        "treaty_id", "goc_id", "treaty_type", pidx.alias("period"), "amount",
+        F.when(F.col("aoc_step") == S.VARIANCE, pidx).alias("var_period"))
+    if carry_in is not None:
+        ev = ev.unionByName(carry_in.select(ev.columns))
+    each = ev.groupBy("treaty_id", "goc_id", "treaty_type", "period").agg(
+        F.sum("amount").alias("amount"), F.max("var_period").alias("var_period"))
+    by_treaty = Window.partitionBy("treaty_id").orderBy("period")
+    past = by_treaty.rowsBetween(Window.unboundedPreceding, 0)
+    run = each.select(
+        "treaty_id", "goc_id", "treaty_type", "period", money(F.sum("amount").over(past)).alias("amount"),
+        F.max("var_period").over(past).alias("var_period"),
+        F.coalesce(F.lead("period").over(by_treaty) - 1, F.greatest(F.lit(last_period), F.col("period"))).alias("until"))
+    return run.withColumn("period", F.explode(F.sequence("period", "until"))).drop("until")
+
+
 def treaty_cumulative(treaty_movement: DataFrame) -> DataFrame:
     """T2 on its own: running treaty cashflow cumulative, ordered by (date, step order)."""
     w = Window.partitionBy("treaty_id").orderBy("reporting_date", "aoc_order") \

@@ -26,6 +26,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gocledger.functions import period_index
 from gocledger.operators import (
     explore,
     goc_state,
@@ -43,6 +44,15 @@ from gocledger.sources import binding, fixture, sinks, store
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
 
+#: Models with rows of their own for every date: published by date, so that a quarter can be rebuilt alone.
+DATED = {name: ("reporting_date",) for name in (
+    "stg_cashflow_input", "int_treaty_quarterly_movement", "int_goc_quarterly_movement", "int_treaty_bs_state",
+    "int_retro_quarterly_movement", "int_retro_bs_state", "mart_goc_aoc_quarterly", "mart_treaty_aoc_quarterly",
+    "mart_pnl_quarterly", "val_retro_recovery_identity", "val_release_timing", "val_treaty_goc_reconciliation")}
+#: Published beside the models: the treaties' balances at every quarter's end.
+BALANCES = "int_treaty_balance"
+
+
 class Ledger:
     def __init__(
         self,
@@ -359,9 +369,10 @@ class Ledger:
         return {name: written[name] for names in self.LAYERS.values() for name in names}
 
     def findings(self, tests: list[quality.DataTest] | None = None) -> dict[str, int]:
-        """Failures by validator (V1-V8) and by data test (``model.columns test``): 0 where all is well."""
+        """Failures by validator (V1-V8) and by data test (``model.columns test``; default: all declared
+        ones): 0 where all is well."""
         found = {r.validation: r.fail_count for r in self.val_summary.collect()}
-        for r in self.data_tests(tests).collect():
+        for r in self.data_tests(tests).collect() if tests is None or tests else ():
             found[f"{r.model}.{r.column_name} {r.test_name}"] = r.failures
         return found
 
@@ -375,15 +386,32 @@ class Ledger:
         :class:`~gocledger.sources.store.VersionedStore`."""
         out = store.VersionedStore(self.spark, base)
         folder = out.new_folder()
-        written = self.publish(f"{out.base}/{folder}", release_scratch=release_scratch)
+        written = self.publish(f"{out.base}/{folder}", partition_by=DATED, release_scratch=release_scratch)
         found = self.findings(tests)
         store.audited(found, tolerate)
+        return out.commit(self._entries(out, folder, written), audit=found)
+
+    def _entries(self, out: store.VersionedStore, folder: str, written: dict[str, str]) -> dict[str, dict]:
+        """Manifest entries of written tables, and of the treaties' balances, written last."""
         models = {}
         for name, path in written.items():
             at = path[len(out.base) + 1:]
-            parted = bool(sinks.LEDGER_PARTITIONING.get(name))
-            models[name] = out.entry(self.model(name), [{"path": at, "partitions": out.partitions(at) if parted else None}])
-        return out.commit(models, audit=found)
+            models[name] = out.entry(self.model(name), [{"path": at, "partitions": out.partitions(at) if name in DATED else None}])
+        at = f"{folder}/{BALANCES}"
+        sinks.write_table(self.treaty_balances, f"{out.base}/{at}", partition_by=("period",))
+        models[BALANCES] = out.entry(self.treaty_balances, [{"path": at, "partitions": out.partitions(at)}])
+        return models
+
+    @property
+    def _last_period(self) -> int:
+        """The last quarter with any movement (GoC-level rows, a few per quarter)."""
+        last = self.int_goc_quarterly_movement.agg(F.max(period_index(F.col("reporting_date")))).first()[0]
+        return 0 if last is None else int(last)
+
+    @cached_property
+    def treaty_balances(self) -> DataFrame:
+        """Every treaty's balance at every quarter's end: what a later run of one quarter starts from."""
+        return treaty_state.treaty_balances(self._movements, self._last_period)
 
     _SCRATCH_NODES = ("treaty_movement_table", "_goc_periods_counted", "goc_periods", "goc_period_rows",
                       "_retro_treaties_counted", "retro_treaties", "retro_treaty_rows")
