@@ -1,10 +1,8 @@
 """Fuzzy line dedup by MinHash, DataFrame operations only.
 
-A line's shingles are the CHARS characters from every character of it (``chars``);
-a shorter line is one shingle.  Without ``chars`` they are WIDTH-character windows
-from word starts, which lose most short lines with one changed character and are
-kept for callers that compare by them; the registered query does not.  Signatures are BANDS x ROWS minima over hashed shingles;
-lines that agree on a whole band are candidates, the exact Jaccard similarity of
+A line's shingles are the ``chars`` characters from every character of it; a
+shorter line is one shingle.  Signatures are BANDS x ROWS minima over hashed
+shingles; lines that agree on a whole band are candidates, the exact Jaccard similarity of
 their shingles is computed, and a distributed union-find closes the links into
 components, of which the first line stays.
 
@@ -34,8 +32,6 @@ from gocledger.llm.components import connected_components
 
 #: Characters of a shingle.
 CHARS = 5
-#: Characters of a window from a word's start.
-WIDTH = 16
 SIMILARITY = 0.8
 BANDS = 16
 ROWS = 3
@@ -64,16 +60,6 @@ def char_shingles(line: Column, width: int = CHARS) -> Column:
     return F.array_distinct(once[0])
 
 
-def _windows(line: Column, width: int) -> Column:
-    return F.regexp_extract_all(line, F.lit(rf"(?=(\S.{{0,{width - 1}}}))(?:\S{{1,{width}}}+(?!\S)|\S)"), F.lit(1))
-
-
-def shingles(line: Column, width: int = WIDTH) -> Column:
-    """Distinct 64-bit hashes of the windows from each word's start; in a run of more than ``width``
-    characters without white space they start at every character until the run's last ``width``."""
-    return F.array_distinct(F.transform(_windows(line, width), lambda s: F.xxhash64(s)))
-
-
 def _masks(n: int, seed: int) -> list[int]:
     """Fixed 64-bit masks: the minimum of hash XOR mask is a min-wise hash of its own for each mask."""
     out, x = [], (seed * 0x9E3779B97F4A7C15 + 1) % (1 << 64)
@@ -84,19 +70,16 @@ def _masks(n: int, seed: int) -> list[int]:
     return out
 
 
-def _signed(lines: DataFrame, chars: int | None, width: int, bands: int, rows: int, seed: int) -> DataFrame:
+def _signed(lines: DataFrame, chars: int, bands: int, rows: int, seed: int) -> DataFrame:
     """(h1, h2, b0, b1, ...): the band keys of every different line.
 
     A shingle is a row until the minima over a line's shingles, which need no shuffle of their own.
     """
     line = F.col("line")
     one = lines.select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
-    if chars is None:
-        each = one.select("h1", "h2", F.explode(_windows(line, width)).alias("s")).select("h1", "h2", F.xxhash64("s").alias("hash"))
-    else:
-        cut = one.select("h1", "h2", _chars(line).alias("chars"), _starts(line, chars).alias("starts"))
-        each = cut.select("h1", "h2", "chars", F.explode("starts").alias("start")).select(
-            "h1", "h2", _shingle(F.col("chars"), F.col("start"), chars).alias("hash"))
+    cut = one.select("h1", "h2", _chars(line).alias("chars"), _starts(line, chars).alias("starts"))
+    each = cut.select("h1", "h2", "chars", F.explode("starts").alias("start")).select(
+        "h1", "h2", _shingle(F.col("chars"), F.col("start"), chars).alias("hash"))
     low = each.groupBy("h1", "h2").agg(
         *[F.min(F.col("hash").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks(bands * rows, seed))])
     return low.select("h1", "h2", *[F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * rows, (b + 1) * rows)]).alias(f"b{b}")
@@ -146,7 +129,7 @@ def _linked(similarity: float) -> Column:
     return F.filter("block", link)
 
 
-def repeated_lines(docs: DataFrame, scratch: Scratch, *, chars: int | None = None, width: int = WIDTH, similarity: float = SIMILARITY,
+def repeated_lines(docs: DataFrame, scratch: Scratch, *, chars: int = CHARS, similarity: float = SIMILARITY,
                    bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, seed: int = SEED, doc_id: str = "doc_id",
                    text: str = "text") -> DataFrame:
     """(doc_id, text_key, removed): per document the numbers (from 0, sorted) of the lines that go.
@@ -155,23 +138,27 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, *, chars: int | None = Non
     the first stays: smallest doc_id (nulls last), then smallest text hash
     (``text_key``, xxhash64), then earliest.  Blank lines always stay.  Null texts
     have no lines.  Rows equal in doc_id and text count as one document.
-    ``chars``: length of shingles from every character; None: windows of ``width``
-    from word starts.
+    ``chars``: characters of a shingle.
     """
     def shape(line: Column) -> Column:
-        return shingles(line, width) if chars is None else char_shingles(line, chars)
+        return char_shingles(line, chars)
 
     keys = [f"b{i}" for i in range(bands)]
     hashed = _hashed(_lines(docs, doc_id, text), seed)
     lines = scratch.cut(hashed.drop("line"), "lines")
-    signed = scratch.cut(_signed(hashed, chars, width, bands, rows, seed), "line-bands")
-
-    # Bands with at least two different lines, one of each set of members, and their members.
-    banded = signed.select("h1", "h2", F.explode(F.array(*keys)).alias("band"))
-    shared = (banded.groupBy("band").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.count(F.lit(1)).alias("n"),
-                                         F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
-              .where(F.col("lo") != F.col("hi")).groupBy("lo", "hi", "n", "x1", "x2").agg(F.min("band").alias("band")).select("band"))
-    members = scratch.cut(banded.drop("h2").join(shared, "band").distinct(), "line-band-members")
+    mark = scratch.mark()
+    signed = scratch.cut(_signed(hashed, chars, bands, rows, seed), "line-bands")
+
+    # Bands with at least two different lines (most have one: those leave with a count alone), one of
+    # each set of members, and their members.
+    banded = signed.select("h1", "h2", F.explode(F.array_distinct(F.array(*keys))).alias("band"))
+    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    met = scratch.cut(banded.join(several, "band"), "line-shared-bands")
+    shared = (met.groupBy("band", "n").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"),
+                                           F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
+              .groupBy("lo", "hi", "n", "x1", "x2").agg(F.min("band").alias("band")).select("band"))
+    members = scratch.cut(met.select("h1", "band").join(shared, "band"), "line-band-members")
+    scratch.drop(mark, mark + 2)
     own = members.groupBy("h1").agg(F.sort_array(F.collect_set("band")).alias("bands"))
 
     # Text of one occurrence of every member.

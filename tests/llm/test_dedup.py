@@ -235,9 +235,6 @@ def test_string_ids_and_null_ids(spark):
 
 
 # ------------------------------------------------------------------ lines
-SHINGLE = re.compile(r"(?=(\S.{0,15}))(?:\S{1,16}+(?!\S)|\S)")
-
-
 def brute_lines(rows, similarity=0.8):
     """Places (doc, line) that go, from all pairs of lines."""
     places = {}
@@ -246,7 +243,7 @@ def brute_lines(rows, similarity=0.8):
             if re.search(r"\S", line):
                 places.setdefault(line, []).append((d is None, d or 0, i))
     lines = sorted(places)
-    sets = [set(SHINGLE.findall(x)) for x in lines]
+    sets = [five_grams(x) for x in lines]
     links = [(i, j) for i in range(len(lines)) for j in range(i)
              if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9]
     label = components(len(lines), links)
@@ -271,7 +268,7 @@ def test_fuzzy_lines_match_brute_force(spark):
         rows.append((i, "\n".join(text)))
     want, links = brute_lines(rows)
     for block in (256, 4):
-        got = {(False, r.doc_id, i) for r in linedup.repeated_lines(docs(spark, rows), Scratch(spark), bands=16, block=block).collect()
+        got = {(False, r.doc_id, i) for r in linedup.repeated_lines(docs(spark, rows), Scratch(spark), block=block).collect()
                for i in r.removed}
         assert got == want and links > 50, block
 
@@ -289,12 +286,6 @@ def test_lines_odd_rows_and_text(spark):
     assert linedup.dedup_lines(empty(spark), Scratch(spark)).count() == 0
 
 
-def test_line_shingles_cover_every_character(spark):
-    lines = ["plain words here", "x" * 40, "a" * 17 + " b", "日本語" * 10, "", "  lead", "tab\tsplit"]
-    got = spark.createDataFrame([(x,) for x in lines], "line string").select(F.size(linedup.shingles(F.col("line"))).alias("n")).collect()
-    assert [r.n for r in got] == [len(set(SHINGLE.findall(x))) for x in lines]
-
-
 def five_grams(line):
     return {line[i:i + 5] for i in range(max(len(line) - 4, 1))}
 
@@ -319,7 +310,7 @@ def test_one_character_edits_are_found(spark):
     want = {i for i, c in enumerate(label) if i != c}
     df = docs(spark, list(enumerate(lines)))
     for block in (256, 1):
-        got = {r.doc_id for r in linedup.repeated_lines(df, Scratch(spark), chars=linedup.CHARS, bands=16, block=block).collect()}
+        got = {r.doc_id for r in linedup.repeated_lines(df, Scratch(spark), block=block).collect()}
         assert got == want and len(want) > 40, block
 
 
@@ -336,6 +327,13 @@ def test_registered_banding_finds_pairs_at_the_threshold(spark, tmp_path):
     assert got <= want and len(want) > 350 and len(got) >= 0.999 * len(want)
 
 
+def test_line_feeds_alone_separate_lines(spark):
+    """A carriage return belongs to its line: a line with one differs from the line without by that character."""
+    rows = [(1, "one line of text\r\nanother line of text\r\n"), (2, "one line of text\r\nsomething else altogether"), (3, "x\ry")]
+    out = {r.doc_id: r.text for r in linedup.dedup_lines(docs(spark, rows), Scratch(spark)).collect()}
+    assert out == {1: "one line of text\r\nanother line of text\r\n", 2: "something else altogether", 3: "x\ry"}
+
+
 def test_lines_plan_is_native(spark):
     plan = linedup.repeated_lines(docs(spark, [(1, "a b"), (2, "a b")]), Scratch(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
