@@ -59,8 +59,13 @@ UNKNOWN = 0.5
 #: An exception granted by ``with`` frees this part of what a licence withholds.
 EXCEPTION = 0.25
 
+#: Reserved words of expressions: no licence, or nothing said.  They name no label.
+RESERVED = ("none", "noassertion")
+
 _SEPARATORS = re.compile(rb"[^0-9a-z\x80-\xff]+")
-_TAGGED = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: What may stand between a tag and its expression, and the expression.
+_EXPRESSION = re.compile(rb"[ \t]*:[ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _BINDING = {"or": 1, "and": 2, "with": 3}
 
@@ -124,7 +129,8 @@ def to_postfix(expression: str) -> list[str]:
 
 def evaluate(expression: str) -> tuple[set[str], float] | None:
     """(labels, freedom) of a licence expression; None when it names no licence.
-    ``or`` lets the user choose the freer side, ``and`` binds to the stricter one."""
+    ``or`` lets the user choose the freer side, ``and`` binds to the stricter one; a
+    reserved word stands for a licence that is not known."""
     stack: list[tuple[set[str], float]] = []
     for token in to_postfix(expression):
         if token in _BINDING and len(stack) >= 2:
@@ -135,8 +141,8 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
                 stack.append((left | right, max(a, b) if token == "or" else min(a, b)))
         elif token not in _BINDING:
             label = label_of(token)
-            stack.append(({label}, FREEDOM.get(label, UNKNOWN)))
-    return stack[-1] if stack else None
+            stack.append((set(), UNKNOWN) if label in RESERVED else ({label}, FREEDOM.get(label, UNKNOWN)))
+    return stack[-1] if stack and stack[-1][0] else None
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -157,7 +163,7 @@ def scan(text: str | None, automaton: ahocorasick.Automaton) -> dict:
     first = last = None
     base: set[str] = set()
     labels: set[str] = set()
-    tagged = False
+    tags: list[int] = []
     for start, phrase, label in hits:
         word += spaced.count(" ", at, start)
         at = start
@@ -167,17 +173,23 @@ def scan(text: str | None, automaton: ahocorasick.Automaton) -> dict:
             last = word
             base.add(label)
         if label is None:
-            tagged = True
+            tags.append(word + phrase.count(" "))
         else:
             labels.add(label)
     freedom = [FREEDOM.get(x, UNKNOWN) for x in labels]
     expressions: list[str] = []
-    if tagged:
-        for m in _TAGGED.finditer(text):
-            if (found := evaluate(m[1])) is not None:
+    if tags:
+        # From the number of a tag's last word to its place in the text.
+        raw = text.encode("utf-8", "surrogatepass")
+        ends = iter(enumerate(m.end() for m in _WORD.finditer(utf8(text))))
+        for tag in tags:
+            behind = next(end for n, end in ends if n == tag)
+            m = _EXPRESSION.match(raw, behind)
+            expression = m[1].decode("utf-8", "surrogatepass").strip() if m else ""
+            if (found := evaluate(expression)) is not None:
                 labels |= found[0]
                 freedom.append(found[1])
-                expressions.append(m[1].strip())
+                expressions.append(expression)
     return {"n_words": n_words, "n_base": n_base, "first_word": first, "last_word": last,
             "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(labels)),
             "score": min(freedom) if freedom else 0.0, "expressions": expressions}
@@ -199,11 +211,14 @@ def license_scan(docs: DataFrame, *, text: str = "text", keep: Iterable[str] | N
     empty texts find nothing.  Repeated rows repeat their findings; input columns
     named like an added one are replaced.
     """
+    made: list[ahocorasick.Automaton] = []  # one a task
+
     def rows(batch: pa.RecordBatch) -> dict:
-        automaton = _automaton()
+        if not made:
+            made.append(_automaton())
         out: dict[str, list] = {n: [] for n in ADDED.names}
         for t in batch.column(batch.schema.get_field_index(text)):
-            for k, v in scan(t.as_py(), automaton).items():
+            for k, v in scan(t.as_py(), made[0]).items():
                 out[k].append(v)
         return out
 
