@@ -8,8 +8,10 @@ a later model learns from what an earlier one really knows about unseen texts.
 Features are hashed distinct words and word beginnings of the whole text (a
 stem's inflections share their beginnings); each model keeps the features that
 tell its category apart best.  The fit sees at most ``fit_rows`` labelled rows,
-chosen by a seeded hash of doc_id and turned into feature numbers by the
-executors; prediction is a narrow map over whole texts with a broadcast model of
+chosen by a seeded hash of doc_id.  Their features are counted in Spark by feature,
+categories and fold (at most 2^HASH_BITS features), all models choose theirs from
+those counts, and only the chosen features of each row (at most MAX_FEATURES a
+model) come to the driver, however long the texts are; prediction is a narrow map over whole texts with a broadcast model of
 bounded width.
 """
 
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gocledger.llm.common import alnum_words, arrow_map, shield
+from gocledger.llm.common import Scratch, alnum_words, arrow_map, shield
 
 HASH_BITS = 20
 PREFIXES = (4, 5, 6)
@@ -99,31 +101,54 @@ class _Rows:
         out[where[self.row[ok]], at[ok]] = 1
         return out
 
-    def best(self, y: np.ndarray, weight: np.ndarray, pick: np.ndarray) -> np.ndarray:
-        """The features whose presence differs most between the classes (score test), sorted."""
-        use = np.zeros(self.n, bool)
-        use[pick] = True
-        ok = use[self.row]
-        f, r = self.feature[ok], self.row[ok]
-        size = 1 << HASH_BITS
-        docs = np.bincount(f, minlength=size)
-        seen = np.bincount(f, weights=weight[r], minlength=size)
-        pos = np.bincount(f, weights=weight[r] * y[r], minlength=size)
-        total, base = weight[pick].sum(), (weight[pick] * y[pick]).sum()
+
+@dataclass
+class Counts:
+    """Fitted texts by (feature, categories as bits, fold): columns of equal length; and for each
+    (categories, fold) the texts in all and the weight of one."""
+
+    feature: np.ndarray
+    kind: np.ndarray
+    fold: np.ndarray
+    n: np.ndarray
+    texts: dict[tuple[int, int], int]
+    weight: dict[int, float]
+
+    def best(self, category: int, folds: Sequence[int]) -> np.ndarray:
+        """The features whose presence differs most between the classes (score test) over the texts
+        of these folds, sorted."""
+        use = np.isin(self.fold, folds)
+        f, n, kind = self.feature[use], self.n[use].astype(float), self.kind[use]
+        names, at = np.unique(f, return_inverse=True)
+        w = n * np.array([self.weight.get(k, 1.0) for k in range(max(self.weight, default=0) + 1)])[kind]
+        docs, seen = np.bincount(at, n), np.bincount(at, w)
+        pos = np.bincount(at, w * (kind >> category & 1))
+        total = sum(c * self.weight[k] for (k, d), c in self.texts.items() if d in folds)
+        base = sum(c * self.weight[k] for (k, d), c in self.texts.items() if d in folds and k >> category & 1)
         rate = base / total
         spread = seen * (1 - seen / total) * rate * (1 - rate)
         score = np.where((docs >= MIN_DOCS) & (spread > 0), np.abs(pos - seen * rate) / np.sqrt(np.maximum(spread, 1e-12)), 0)
         top = np.argsort(-score, kind="stable")[:MAX_FEATURES]
-        return np.sort(top[score[top] >= MIN_SCORE])
+        return np.sort(names[top[score[top] >= MIN_SCORE]])
+
+    def chosen(self, categories: int) -> dict[tuple[int, int], np.ndarray]:
+        """Features of every model: by category and the fold left out (-1: none)."""
+        out = {}
+        for c in range(categories):
+            for left_out in range(-1, FOLDS):
+                folds = [f for f in range(FOLDS) if f != left_out]
+                known = {k >> c & 1 for (k, d) in self.texts if d in folds}
+                out[c, left_out] = self.best(c, folds) if len(known) == 2 else np.zeros(0, np.int64)
+        return out
 
 
-def fit_linear(rows: _Rows, y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, pick: np.ndarray) -> Linear:
-    """Weighted logistic regression with an L2 penalty, by accelerated gradient steps."""
+def fit_linear(rows: _Rows, y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, pick: np.ndarray,
+               features: np.ndarray) -> Linear:
+    """Weighted logistic regression over the given features with an L2 penalty, by accelerated gradient steps."""
     p = float(np.clip((weight[pick] * y[pick]).sum() / max(weight[pick].sum(), 1e-9), 1e-4, 1 - 1e-4)) if len(pick) else 1e-4
     bias = float(np.log(p / (1 - p)))
     if not len(pick) or len(np.unique(y[pick])) < 2:
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), bias)
-    features = rows.best(y, weight, pick)
     x = np.concatenate([rows.dense(features, pick), earlier[pick].astype(np.float32), np.ones((len(pick), 1), np.float32)], axis=1)
     t, w = y[pick].astype(np.float32), (weight[pick] / weight[pick].sum()).astype(np.float32)
     coef = np.zeros(x.shape[1], np.float32)
@@ -164,8 +189,9 @@ class Chain:
 
 
 def fit_chain(lists: Sequence[Sequence[int]], y: np.ndarray, weight: np.ndarray, fold: np.ndarray,
-              names: Sequence[str]) -> Chain:
-    """Chain over labelled texts: y (rows, categories), ``fold`` numbers 0..FOLDS-1."""
+              names: Sequence[str], chosen: dict[tuple[int, int], np.ndarray]) -> Chain:
+    """Chain over labelled texts: y (rows, categories), ``fold`` numbers 0..FOLDS-1, ``chosen``: the
+    features of each model (:meth:`Counts.chosen`)."""
     rows, every = _Rows(lists), np.arange(len(lists))
     earlier = np.zeros((len(lists), 0))
     models: list[Linear] = []
@@ -175,9 +201,9 @@ def fit_chain(lists: Sequence[Sequence[int]], y: np.ndarray, weight: np.ndarray,
         for f in range(FOLDS):
             test = np.flatnonzero(fold == f)
             if len(test):
-                m = fit_linear(rows, target, weight, earlier, np.flatnonzero(fold != f))
+                m = fit_linear(rows, target, weight, earlier, np.flatnonzero(fold != f), chosen[c, f])
                 held[test] = _sigmoid(m.logit(rows.dense(m.features, test), earlier[test]))
-        models.append(fit_linear(rows, target, weight, earlier, every))
+        models.append(fit_linear(rows, target, weight, earlier, every, chosen[c, -1]))
         earlier = np.concatenate([earlier, held[:, None]], axis=1)
     features = np.unique(np.concatenate([m.features for m in models]))
     weights = np.zeros((len(features), len(names)))
@@ -215,20 +241,36 @@ def train(docs: DataFrame, labels: DataFrame, *, categories: Sequence[tuple[str,
     def numbers(batch: pa.RecordBatch) -> dict:
         return {"features": [text_features(t.as_py()) for t in batch.column(batch.schema.get_field_index("__text"))]}
 
-    got = arrow_map(joined, numbers, T.StructType([T.StructField("features", T.ArrayType(T.IntegerType()))]),
-                    keep=["__id", *names]).groupBy("__id").agg(F.min_by("features", F.size("features")).alias("features"),
-                                                               *[F.max(n).alias(n) for n in names]).toArrow()
-    ids = got.column("__id").to_numpy()
-    lists = [got.column("features")[i].values.to_numpy() for i in range(len(ids))]
-    y = np.stack([got.column(n).to_numpy().astype(float) for n in names], axis=1) if len(ids) else np.zeros((0, len(names)))
-    at = np.argsort(ids, kind="stable")
-    ids, y, lists = ids[at], y[at], [lists[i] for i in at]
-    classes = y.max(axis=1).astype(int) if len(ids) else np.zeros(0, int)
-    weight = np.ones(len(ids))
-    for a in (0, 1):
-        if (classes == a).any():
-            weight[classes == a] = sizes.get(a, 0) / (classes == a).sum()
-    return fit_chain(lists, y, weight, np.abs(ids * 2654435761 >> 7) % FOLDS, names)
+    scratch = Scratch(docs.sparkSession)
+    kind = sum((F.col(n) * (1 << c) for c, n in enumerate(names)), F.lit(0))
+    rows = scratch.cut(arrow_map(joined, numbers, T.StructType([T.StructField("features", T.ArrayType(T.IntegerType()))]),
+                                 keep=["__id", *names])
+                       .groupBy("__id").agg(F.min_by("features", F.struct(F.size("features"), F.xxhash64("features"))).alias("features"),
+                                            *[F.max(n).alias(n) for n in names])
+                       .select("__id", "features", kind.cast("int").alias("kind"),
+                               F.pmod(F.xxhash64(F.lit(seed), F.lit("fold"), "__id"), F.lit(FOLDS)).cast("int").alias("fold")), "toxic-sample")
+    texts = {(r["kind"], r["fold"]): r["n"] for r in rows.groupBy("kind", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = {a: sum(n for (k, _), n in texts.items() if (k > 0) == bool(a)) for a in (0, 1)}
+    weight = {k: sizes.get(int(k > 0), 0) / found[int(k > 0)] for k, _ in texts}
+    per = rows.select("kind", "fold", F.explode("features").alias("feature")).groupBy("feature", "kind", "fold").agg(F.count(F.lit(1)).alias("n"))
+    often = per.groupBy("feature").agg(F.sum("n").alias("docs")).where(F.col("docs") >= MIN_DOCS).select("feature")
+    table = per.join(often, "feature").toArrow()
+    column = lambda n: table.column(n).to_numpy().astype(np.int64)
+    chosen = Counts(column("feature"), column("kind"), column("fold"), column("n"), texts, weight).chosen(len(names))
+    # At most MAX_FEATURES numbers for each model.
+    wanted = np.unique(np.concatenate([*chosen.values(), np.zeros(0, np.int64)]))
+
+    def of_interest(batch: pa.RecordBatch) -> dict:
+        lists = batch.column(batch.schema.get_field_index("all"))
+        return {"features": [np.intersect1d(v.values.to_numpy(), wanted).tolist() for v in lists]}
+
+    got = (arrow_map(rows.withColumnRenamed("features", "all"), of_interest, T.StructType([T.StructField("features", T.ArrayType(T.IntegerType()))]), keep=["__id", "kind", "fold"])
+           .orderBy(F.xxhash64("__id"), "__id").toArrow())
+    scratch.release()
+    kinds = got.column("kind").to_numpy()
+    lists = [v.values.to_numpy() for v in got.column("features").combine_chunks()] if len(kinds) else []
+    y = np.stack([(kinds >> c & 1).astype(float) for c in range(len(names))], axis=1) if len(kinds) else np.zeros((0, len(names)))
+    return fit_chain(lists, y, np.array([weight[k] for k in kinds.tolist()]), got.column("fold").to_numpy(), names, chosen)
 
 
 # ------------------------------------------------------------------ prediction

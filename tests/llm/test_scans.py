@@ -60,6 +60,93 @@ def test_expressions_are_evaluated():
     assert found["labels"] == "apache,bsd,mit" and found["expressions"] and found["n_base"] == 0
 
 
+@pytest.mark.parametrize("text,labels,expressions", [
+    ("SPDX License Identifier: MIT", "mit", ["MIT"]),
+    ("SPDX-License-Identifier : MIT OR Apache-2.0", "apache,mit", ["MIT OR Apache-2.0"]),
+    ("é日本 /* spdx_license_identifier:\tGPL-2.0+ */\nMIT", "gpl", ["GPL-2.0+ */"]),
+    ("SPDX-License-Identifier: NONE", "", []),
+    ("SPDX-License-Identifier: NOASSERTION", "", []),
+    ("SPDX-License-Identifier: MIT AND NOASSERTION", "mit", ["MIT AND NOASSERTION"]),
+    ("the SPDX license identifier is short", "", []),
+    ("SPDX-License-Identifier:", "", []),
+    ("SPDX-License-Identifier: MIT\nSPDX-License-Identifier: ISC\r\nSPDX License Identifier: Zlib", "isc,mit,zlib", ["MIT", "ISC", "Zlib"]),
+])
+def test_expressions_stand_where_the_automaton_found_the_tag(text, labels, expressions):
+    found = licenses.scan(text, licenses._automaton())
+    assert (found["labels"], found["expressions"]) == (labels, expressions)
+
+
+def test_labels_match_brute_force(spark):
+    """Phrases by plain list search, expressions by a recursive-descent parser of its own."""
+    import re
+    rng = random.Random(31)
+    names = ["MIT", "Apache-2.0", "GPL-3.0-only", "BSD-3-Clause", "Zlib", "LGPL-2.1+"]
+    phrases = licenses.BASE_PHRASES | licenses.NOTICE_PHRASES
+
+    def expression(depth=0):
+        kind = rng.randrange(5) if depth < 3 else 0
+        if kind in (0, 1):
+            return rng.choice(names)
+        if kind == 2:
+            return rng.choice(names) + " WITH Classpath-exception-2.0"
+        return f"({expression(depth + 1)} {rng.choice(['AND', 'or'])} {expression(depth + 1)})"
+
+    def parse(tokens):
+        def either():
+            value = both()
+            while tokens and tokens[0].lower() == "or":
+                tokens.pop(0)
+                other = both()
+                value = (value[0] | other[0], max(value[1], other[1]))
+            return value
+
+        def both():
+            value = one()
+            while tokens and tokens[0].lower() == "and":
+                tokens.pop(0)
+                other = one()
+                value = (value[0] | other[0], min(value[1], other[1]))
+            return value
+
+        def one():
+            if tokens[0] == "(":
+                tokens.pop(0)
+                value = either()
+                tokens.pop(0)
+                return value
+            label = licenses.label_of(tokens.pop(0))
+            free = licenses.FREEDOM.get(label, licenses.UNKNOWN)
+            if tokens and tokens[0].lower() == "with":
+                del tokens[:2]
+                free += (1 - free) * licenses.EXCEPTION
+            return {label}, free
+
+        return either()
+
+    rows, want = [], {}
+    for i in range(200):
+        parts, labels, free = [], set(), []
+        for _ in range(rng.randrange(4)):
+            if rng.random() < 0.5:
+                e = expression()
+                parts.append(f"// SPDX-License-Identifier: {e}\n")
+                found = parse(re.findall(r"\(|\)|[^\s()]+", e))
+                labels |= found[0]
+                free.append(found[1])
+            else:
+                parts.append(f"prose {rng.choice(list(phrases)).title()} prose\n")
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(parts).lower())
+        for phrase, label in phrases.items():
+            p = phrase.split()
+            if any(words[k:k + len(p)] == p for k in range(len(words))):
+                labels.add(label)
+                free.append(licenses.FREEDOM.get(label, licenses.UNKNOWN))
+        rows.append((i, "".join(parts)))
+        want[i] = (",".join(sorted(labels)), min(free, default=0.0))
+    for r in licenses.license_scan(docs(spark, rows)).collect():
+        assert r.labels == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 1e-12, r.text
+
+
 def test_license_empty_and_clash(spark):
     assert licenses.license_scan(empty(spark)).count() == 0
     r = licenses.license_scan(docs(spark, [(1, "MIT license")]).selectExpr("*", "'x' as labels", "3 as Score")).collect()[0]
@@ -190,11 +277,65 @@ def test_chain_feeds_earlier_probabilities_forward():
     rng = np.random.default_rng(3)
     lists = [[int(x)] * 1 for x in rng.integers(0, 2, 400)]
     y = np.array([[x[0], x[0]] for x in lists], float)
-    chain = toxicity.fit_chain(lists, y, np.ones(400), np.arange(400) % 3, ["a", "b"])
+    chain = toxicity.fit_chain(lists, y, np.ones(400), np.arange(400) % 3, ["a", "b"],
+                               {(c, f): np.array([0, 1]) for c in range(2) for f in range(-1, 3)})
     assert chain.chained[1][0] > 0.5
     assert chain.predict(np.zeros((1, 2))).shape == (1, 2)
 
 
+def test_features_and_probabilities_match_brute_force(spark):
+    """Plain Python: the score test over each fold's texts, and the chain's formula on each text."""
+    import math
+    import re
+    from collections import Counter
+    rows, labels = toxic_corpus(240)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    seen = {}
+    old = toxicity.Counts.chosen
+
+    def watched(self, categories):
+        seen["counts"], seen["chosen"] = self, old(self, categories)
+        return seen["chosen"]
+
+    toxicity.Counts.chosen = watched
+    try:
+        chain = toxicity.train(docs(spark, rows), lab)
+    finally:
+        toxicity.Counts.chosen = old
+    fold = {r.i: r.f for r in spark.createDataFrame([(i,) for i, _ in rows], "i long").selectExpr(
+        "i", f"pmod(xxhash64({toxicity.SEED}, 'fold', i), {toxicity.FOLDS}) as f").collect()}
+    words = {i: set(re.findall(rb"[0-9a-z\x80-\xff]+", t.encode().lower())) for i, t in rows}
+    feats = {i: {f for w in ws for f in toxicity.word_features(w)} for i, ws in words.items()}
+    y = {i: (int(q == 0), int(t == 1), int(q == 0 and t == 1)) for i, q, t in labels}
+    for (c, left_out), got in seen["chosen"].items():
+        use = [i for i in y if fold[i] != left_out]
+        n, base = len(use), sum(y[i][c] for i in use)
+        docs_, pos = Counter(f for i in use for f in feats[i]), Counter(f for i in use if y[i][c] for f in feats[i])
+        score = {}
+        for f, k in docs_.items():
+            spread = k * (1 - k / n) * (base / n) * (1 - base / n)
+            if k >= toxicity.MIN_DOCS and spread > 0:
+                score[f] = abs(pos[f] - k * base / n) / math.sqrt(spread)
+        assert set(got.tolist()) == {f for f, v in score.items() if v >= toxicity.MIN_SCORE}, (c, left_out)
+    place = {f: k for k, f in enumerate(chain.features.tolist())}
+    for r in toxicity.predict(docs(spark, rows), chain).collect():
+        p = []
+        for c in range(3):
+            z = chain.bias[c] + sum(chain.weights[place[f], c] for f in feats[r.doc_id] if f in place)
+            z += sum(a * b for a, b in zip(p, chain.chained[c]))
+            p.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+        assert np.allclose([r.p_low_quality, r.p_toxic, r.p_toxic_low_quality], p, atol=1e-9)
+        assert r.rejected == (p[1] >= toxicity.REJECT_AT)
+
+
+def test_toxicity_of_string_ids(spark):
+    rows, labels = toxic_corpus(200)
+    named = spark.createDataFrame([(f"d{i}", t) for i, t in rows], "doc_id string, text string")
+    lab = spark.createDataFrame([(f"d{i}", q, t) for i, q, t in labels], "doc_id string, quality int, toxic int")
+    kept = {r.doc_id for r in toxicity.remove_toxic(named, lab).collect()}
+    assert kept == {f"d{i}" for i, _, t in labels if not t}
+
+
 def test_toxicity_odd_rows(spark):
     rows, labels = toxic_corpus(200)
     lab = spark.createDataFrame([*labels, (0, None, None), (0, 1, 1), (None, 1, 1), (777, 0, 1)], "doc_id long, quality int, toxic int")
