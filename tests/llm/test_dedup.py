@@ -369,6 +369,36 @@ def test_vectors_match_brute_force(spark):
         assert exact > 0.95 and link.sum() > 60
 
 
+def test_registered_query_finds_planted_links(spark, tmp_path):
+    """Thousands of vectors, pairs planted at cosines from 0.93 to 1: links found, none below the threshold."""
+    rng = np.random.default_rng(14)
+    base = rng.standard_normal((3000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    near = []
+    for i in range(1500):
+        side = rng.standard_normal(64)
+        side -= (side @ base[i]) * base[i]
+        side /= np.linalg.norm(side)
+        c = 0.93 + 0.07 * i / 1499
+        near.append((c * base[i] + np.sqrt(max(0.0, 1 - c * c)) * side) * rng.uniform(0.1, 10))
+    x = np.concatenate([base, near]).astype(np.float32)
+    spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    got = {r.vec_id: r for r in queries.op6_embeddings(spark, str(tmp_path)).collect()}
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    cos = u @ u.T
+    np.fill_diagonal(cos, 0)
+    want = (cos >= 0.95).sum(axis=1)
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert len(got) == len(x) and want.sum() > 2000
+    assert (found <= want).all()                                         # nothing below the threshold
+    assert found.sum() >= 0.99 * want.sum(), (found.sum(), want.sum())
+    label = components(len(x), [(i, j) for i, j in np.argwhere(np.triu(cos >= 0.95)).tolist()])
+    assert np.mean([got[i].component_id == label[i] and got[i].kept == (label[i] == i) for i in range(len(x))]) >= 0.99
+    print("recall", found.sum() / want.sum())
+
+
 def test_vectors_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0, 0.0], 0), (2, [2.0, 0.0, 0.0], 0), (3, [1.0, 0.0, 0.0], 0), (4, None, None), (5, [], 0), (6, [0.0, 0.0, 0.0], 0),
