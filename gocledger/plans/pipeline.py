@@ -33,13 +33,14 @@ from gocledger.operators import (
     marts,
     movement,
     quality,
+    rejects,
     retro,
     staging,
     treaty_state,
     validate,
 )
 from gocledger.params import LedgerParams
-from gocledger.session import cut_lineage, cut_lineage_counted, remove_path, run_folder
+from gocledger.session import cut_lineage, cut_lineage_counted, cut_lineage_observed, remove_path, run_folder
 from gocledger.sources import binding, fixture, sinks, store
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
@@ -63,6 +64,7 @@ class Ledger:
         materialize_treaty: bool = False,
         share_movements: bool = True,
         materialize_retro: bool = False,
+        keep_rejects: bool = False,
     ) -> None:
         self.spark = spark
         self.raw = raw
@@ -77,6 +79,8 @@ class Ledger:
         self.share_movements = share_movements
         # write the retro movements once when several validators read them
         self.materialize_retro = materialize_retro
+        # keep the rows that the ledger leaves out, beside those it takes (``rejects``)
+        self.keep_rejects = keep_rejects
 
     #: Raw tables that grow with the treaties and are joined or aggregated by treaty.
     TREATY_TABLES = ("treaty_master", "cashflow_input")
@@ -145,8 +149,34 @@ class Ledger:
     def int_goc_quarterly_movement(self) -> DataFrame:
         return movement.goc_quarterly_movement(self.int_treaty_quarterly_movement, self.stg_goc_master)
 
+    # -- rows left out (K4) ----------------------------------------------------
+    @cached_property
+    def _flagged_treaty(self) -> tuple[DataFrame, dict]:
+        flagged = rejects.flagged_treaty_movement(self.stg_cashflow_input, self.stg_treaty_master)
+        return cut_lineage_observed(flagged, "treaty_flagged", rejects.counts(), self.scratch, ("reason",))
+
+    @cached_property
+    def _flagged_goc(self) -> tuple[DataFrame, dict]:
+        flagged = rejects.flagged_goc_movement(self._movements, self.stg_goc_master)
+        return cut_lineage_observed(flagged, "goc_flagged", rejects.counts(), self.scratch, ("reason",))
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """The rows that the ledger leaves out, with the reason; read from where the run wrote them."""
+        if not self.keep_rejects:
+            raise ValueError("Ledger(keep_rejects=True) keeps the rows left out")
+        return rejects.rejected(self._flagged_treaty[0], self._flagged_goc[0])
+
+    @property
+    def reject_counts(self) -> dict[str, int]:
+        """Rows left out by reason, counted by the jobs that wrote the movements."""
+        treaty, goc = self._flagged_treaty[1], self._flagged_goc[1]
+        return {r: int(treaty[r]) + int(goc[r]) for r in rejects.REASONS}
+
     @property
     def _movements(self) -> DataFrame:
+        if self.keep_rejects:
+            return self._flagged_treaty[0].where(F.col("reason") == rejects.TAKEN).drop("reason")
         if not self.share_movements or "int_treaty_quarterly_movement" in self.published:
             return self.int_treaty_quarterly_movement
         return self.treaty_movement_table
@@ -165,6 +195,9 @@ class Ledger:
     # -- GoC state (G1-G15) ----------------------------------------------------
     @cached_property
     def _goc_periods_counted(self) -> tuple[DataFrame, int]:
+        if self.keep_rejects:
+            taken = self._flagged_goc[0].where(F.col("reason") == rejects.TAKEN).drop("reason")
+            return cut_lineage_counted(goc_state.goc_periods(taken), "goc_periods", self.scratch)
         m2 = (self.int_goc_quarterly_movement if "int_goc_quarterly_movement" in self.published
               else movement.goc_quarterly_movement(self._movements, self.stg_goc_master))
         return cut_lineage_counted(goc_state.goc_periods(m2), "goc_periods", self.scratch)
@@ -413,7 +446,7 @@ class Ledger:
         """Every treaty's balance at every quarter's end: what a later run of one quarter starts from."""
         return treaty_state.treaty_balances(self._movements, self._last_period)
 
-    _SCRATCH_NODES = ("treaty_movement_table", "_goc_periods_counted", "goc_periods", "goc_period_rows",
+    _SCRATCH_NODES = ("treaty_movement_table", "_flagged_treaty", "_flagged_goc", "rejects", "_goc_periods_counted", "goc_periods", "goc_period_rows",
                       "_retro_treaties_counted", "retro_treaties", "retro_treaty_rows")
 
     def release(self) -> None:

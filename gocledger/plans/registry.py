@@ -329,6 +329,28 @@ def dq_test_summary_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_suite(_faulted_masters(led), staging_tests())
 
 
+def _gapped(spark: SparkSession, sf_dir: str) -> Ledger:
+    """A ledger whose inputs lack treaties, GoCs and INIT_RECOGs, and which keeps what it leaves out."""
+    raw = dict(Ledger.from_driver(spark, sf_dir).raw)
+    treaty, goc, cash = raw["treaty_master"], raw["goc_master"], raw["cashflow_input"]
+    number = lambda c: F.regexp_extract(c, r"(\d+)$", 1).cast("long")
+    late = treaty.where(number("goc_id") % 5 == 2).select("treaty_id", F.lit(True).alias("late"))
+    cash = cash.join(late, "treaty_id", "left").where(F.col("late").isNull() | (F.col("aoc_step") != S.INIT_RECOG)).drop("late")
+    raw |= {"treaty_master": treaty.where(number("treaty_id") % 7 != 3), "goc_master": goc.where(number("goc_id") % 6 != 1),
+            "cashflow_input": cash}
+    return Ledger(spark, raw, keep_rejects=True)
+
+
+def rejects_gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a ledger over inputs with gaps leaves out, and why."""
+    return _gapped(spark, sf_dir).rejects
+
+
+def int_goc_bs_state_gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The GoC ledger over the same inputs: rows left out change nothing else."""
+    return _gapped(spark, sf_dir).int_goc_bs_state
+
+
 def staging_tests() -> list[quality.DataTest]:
     return [t for t in quality.declared_tests() if t.model.startswith("stg_")]
 
@@ -383,6 +405,8 @@ def dq_test_summary_faulted_models(spark: SparkSession, sf_dir: str) -> DataFram
 FAULTED = {
     "dq_test_summary_faulted": dq_test_summary_faulted,
     "dq_test_summary_faulted_models": dq_test_summary_faulted_models,
+    "rejects_gapped": rejects_gapped,
+    "int_goc_bs_state_gapped": int_goc_bs_state_gapped,
     "val_bs_invariants_faulted": val_bs_invariants_faulted,
     "val_profitability_consistency_faulted": val_profitability_consistency_faulted,
     "val_rollforward_continuity_faulted": val_rollforward_continuity_faulted,

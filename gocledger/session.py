@@ -146,6 +146,18 @@ def cut_lineage(df: DataFrame, name: str = "node", written: list[str] | None = N
     return cut_lineage_counted(df, name, written)[0]
 
 
+def cut_lineage_observed(df: DataFrame, name: str, metrics: list, written: list[str] | None = None,
+                         partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` that also returns aggregates observed while writing; in folders by ``partition_by``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gocledger/{RUN}/{name}-{uuid.uuid4().hex}"
+    if written is not None:
+        written.append(path)
+    obs = Observation(f"of_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, *metrics).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns), dict(obs.get)
+
+
 def cut_lineage_counted(df: DataFrame, name: str = "node",
                         written: list[str] | None = None) -> tuple[DataFrame, int]:
     """``cut_lineage`` that also returns the row count, observed while writing
