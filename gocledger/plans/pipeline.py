@@ -17,8 +17,9 @@ folder named by ``spark.checkpoint.dir`` (a reliable lineage cut):
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -41,7 +42,7 @@ from gocledger.operators import (
 )
 from gocledger.params import LedgerParams
 from gocledger.session import cut_lineage, cut_lineage_counted, cut_lineage_observed, remove_path, run_folder
-from gocledger.sources import binding, fixture, sinks, store
+from gocledger.sources import binding, deliveries, fixture, sinks, store
 from gocledger.sources.tables import raw_row_counts, scan_raw
 
 
@@ -110,6 +111,14 @@ class Ledger:
         led.raw_scratch.extend(written)
         return led
 
+    @classmethod
+    def from_deliveries(cls, spark: SparkSession, raw: Mapping[str, DataFrame], *, version: str | None = None,
+                        date: dt.date | None = None, **kw) -> Ledger:
+        """Ledger as of a version of its cashflow deliveries (``raw["cashflow_input"]`` with ``version_id``;
+        ``raw["assumption_version"]`` lists the versions and their dates)."""
+        cash = deliveries.as_of(raw["cashflow_input"], raw["assumption_version"], version=version, date=date)
+        return cls(spark, {**raw, "cashflow_input": cash}, **kw)
+
     @classmethod
     def golden(cls, spark: SparkSession, **kw) -> Ledger:
         kw.setdefault("expectations", fixture.golden_expectations(spark))

@@ -18,6 +18,7 @@ from gocledger.functions import money, state_of
 from gocledger.operators import quality, treaty_state, validate
 from gocledger.params import LedgerParams
 from gocledger.plans.pipeline import Ledger
+from gocledger.sources import binding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,6 +232,8 @@ def queries() -> dict[str, Query]:
     q["goc_at_closing"] = _goc_snapshot(S.CLOSING)
     q["treaty_csm_proxy"] = treaty_csm_proxy
     q["treaty_cumulative"] = treaty_cumulative
+    q["src_cashflow_input_as_of"] = src_cashflow_input_as_of
+    q["int_treaty_bs_state_as_of"] = int_treaty_bs_state_as_of
     q["int_treaty_bs_state_carried"] = int_treaty_bs_state_carried
     q["int_treaty_bs_state_cent"] = int_treaty_bs_state_cent
     q["val_treaty_goc_reconciliation_cent"] = val_treaty_goc_reconciliation_cent
@@ -329,6 +332,26 @@ def dq_test_summary_faulted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_suite(_faulted_masters(led), staging_tests())
 
 
+#: The version at which the deliveries of the driver data are looked at.
+DELIVERY = "V4"
+
+
+def _delivered(spark: SparkSession, sf_dir: str) -> Ledger:
+    raw = dict(Ledger.from_driver(spark, sf_dir).raw) | {
+        "cashflow_input": binding.cashflow_deliveries(spark, sf_dir), "assumption_version": binding.delivery_versions(spark, sf_dir)}
+    return Ledger.from_deliveries(spark, raw, version=DELIVERY)
+
+
+def src_cashflow_input_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cashflows as of a version of their deliveries."""
+    return _delivered(spark, sf_dir).source("cashflow_input")
+
+
+def int_treaty_bs_state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The treaty ledger as of the same version."""
+    return _delivered(spark, sf_dir).int_treaty_bs_state
+
+
 def _gapped(spark: SparkSession, sf_dir: str) -> Ledger:
     """A ledger whose inputs lack treaties, GoCs and INIT_RECOGs, and which keeps what it leaves out."""
     raw = dict(Ledger.from_driver(spark, sf_dir).raw)

@@ -24,10 +24,10 @@ joined plainly; Spark broadcasts them while their measured size allows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gocledger import schema as S
@@ -37,22 +37,27 @@ from gocledger.sources.tables import read_parquet
 MEASUREMENT_YEAR = 1997
 
 
-def cashflow_input(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> DataFrame:
-    """treaty x reporting_date x aoc_step -> amount, from all of lineitem."""
+def _lines(spark: SparkSession, sf_dir: str, year: int, more: Sequence[str] = ()) -> DataFrame:
+    """Every line item with its quarter, step and signed amount."""
     boundary = dt.date(year, 1, 1)
     li = read_parquet(spark, sf_dir, "lineitem",
-                      ["l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"])
+                      ["l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate", *more])
     ship = F.col("l_shipdate").cast("date")
     price = money(F.col("l_extendedprice"))
     is_init = F.coalesce(ship < F.lit(boundary), F.lit(True))
-    lines = li.select(
+    return li.select(
         "l_suppkey",
         F.when(is_init, F.lit(dt.date(year, 3, 31))).otherwise(quarter_end(ship)).alias("reporting_date"),
         F.when(is_init, F.lit(S.INIT_RECOG)).otherwise(F.lit(S.VARIANCE)).alias("aoc_step"),
         F.when(F.col("l_returnflag") == "A", price)
         .when(F.col("l_returnflag") == "R", -price)
-        .otherwise(F.lit(0).cast(S.MONEY)).alias("amount"),
+        .otherwise(F.lit(0).cast(S.MONEY)).alias("amount"), *more,
     )
+
+
+def cashflow_input(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> DataFrame:
+    """treaty x reporting_date x aoc_step -> amount, from all of lineitem."""
+    lines = _lines(spark, sf_dir, year)
     agg = lines.groupBy("l_suppkey", "reporting_date", "aoc_step").agg(F.sum("amount").alias("amount"))
     return agg.select(
         F.concat(F.lit("TRT_S"), F.col("l_suppkey").cast("string")).alias("treaty_id"),
@@ -62,6 +67,26 @@ def cashflow_input(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEA
     )
 
 
+def cashflow_deliveries(spark: SparkSession, sf_dir: str, year: int = MEASUREMENT_YEAR) -> DataFrame:
+    """The cashflows as a series of deliveries: delivery ``V{k}`` holds the keys that have a line with line
+    number k, with the sum over all their lines up to number k."""
+    lines = _lines(spark, sf_dir, year, ["l_linenumber"])
+    each = lines.groupBy("l_suppkey", "reporting_date", "aoc_step", "l_linenumber").agg(F.sum("amount").alias("amount"))
+    upto = Window.partitionBy("l_suppkey", "reporting_date", "aoc_step").orderBy("l_linenumber")
+    return each.select(
+        F.concat(F.lit("V"), F.col("l_linenumber").cast("string")).alias("version_id"),
+        F.concat(F.lit("TRT_S"), F.col("l_suppkey").cast("string")).alias("treaty_id"),
+        "reporting_date", "aoc_step", money(F.sum("amount").over(upto)).alias("amount"))
+
+
+def delivery_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One version per line number, a day apart."""
+    k = F.col("l_linenumber")
+    return read_parquet(spark, sf_dir, "lineitem", ["l_linenumber"]).distinct().select(
+        F.concat(F.lit("V"), k.cast("string")).alias("version_id"), F.concat(F.lit("lines up to number "), k.cast("string")).alias("description"),
+        F.date_add(F.lit(dt.date(2002, 1, 31)), k).alias("as_of_date"))
+
+
 def _suppliers_with_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = read_parquet(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     nation = read_parquet(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])

@@ -15,7 +15,7 @@ from gocledger import schema as S
 # ---------------------------------------------------------------------------
 DRIVER_COLUMN_TYPES = {
     "lineitem": {"l_suppkey": "bigint", "l_extendedprice": "double", "l_returnflag": "string",
-                 "l_shipdate": "timestamp_ntz"},
+                 "l_shipdate": "timestamp_ntz", "l_linenumber": "int"},
     "supplier": {"s_suppkey": "bigint", "s_nationkey": "int"},
     "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
     "region": {"r_regionkey": "int", "r_name": "string"},
