@@ -59,6 +59,7 @@ from gocledger.functions import (
 )
 from gocledger.params import LedgerParams
 from gocledger.operators.allocation import to_the_cent
+from gocledger.operators.coverage import RATIO, with_ratio
 from gocledger.operators.joins import bounded_broadcast_join, fits_broadcast
 
 # GoC values a treaty row needs, from the GoC row of the same date: its own
@@ -115,8 +116,8 @@ def _with_kept_release(ev: DataFrame, params: LedgerParams) -> DataFrame:
 
     def step(acc: F.Column, r: F.Column) -> F.Column:
         proxy = F.when(r["has_roll"], _net_proxy(r["roll_proxy"], acc["kept"])).otherwise(zero)
-        rel = F.coalesce(_release(r["has_release"], r["g_var_state"], proxy,
-                                  release_ratio(r["reporting_quarter"], params.release_ratios)), zero)
+        ratio = r["ratio"] if "ratio" in names else release_ratio(r["reporting_quarter"], params.release_ratios)
+        rel = F.coalesce(_release(r["has_release"], r["g_var_state"], proxy, ratio), zero)
         end = F.least(precise(acc["kept"] + rel), F.greatest(precise(r["after_cum"]), zero))
         return F.struct(F.when(r["aoc_step"] == S.VARIANCE, end).otherwise(acc["kept"]).alias("kept"),
                         F.concat(acc["before"], F.array(acc["kept"])).alias("before"))
@@ -147,10 +148,14 @@ def treaty_bs_state(
     params: LedgerParams = LedgerParams(),
     cut: Callable[[DataFrame], DataFrame] = lambda df: df,
     carry_in: DataFrame | None = None,
+    patterns: DataFrame | None = None,
+    last_year: int = 0,
 ) -> DataFrame:
     """The ledger of all treaties.  ``cut`` writes rows that are read more than once (only
     the allocation to the cent does).  ``carry_in``: the treaties' balances at the end of the
-    quarter before the movements' first one (see :func:`treaty_balances`)."""
+    quarter before the movements' first one (see :func:`treaty_balances`).  ``patterns``: release
+    patterns of single treaties (see :mod:`gocledger.operators.coverage`), ``last_year`` the last
+    with movements."""
     if carry_in is not None and params.carry_release:
         raise ValueError("carried releases depend on the whole history: no carry-in")
     step = F.col("aoc_step")
@@ -162,12 +167,15 @@ def treaty_bs_state(
     ev = treaty_movement.filter(step.isin(*S.INPUT_STEPS)).withColumn("aoc_order", aoc_order(step)).select(
         "treaty_id", "goc_id", "treaty_type", "reporting_date", "reporting_quarter", "aoc_step", "aoc_order", "amount",
         F.when(is_var, pidx).alias("var_period"))
+    if patterns is not None:
+        ev = with_ratio(ev, patterns, last_year, release_ratio(F.col("reporting_quarter"), params.release_ratios))
     if carry_in is not None:
         # A treaty's past as one row ahead of its movements; it leaves again behind the windows over the past.
         end = F.last_day(F.make_date(F.floor((F.col("period") - 1) / 4).cast("int"), ((F.col("period") - 1) % 4 * 3 + 3).cast("int"), F.lit(1)))
         ev = ev.unionByName(carry_in.select(
             "treaty_id", "goc_id", "treaty_type", end.alias("reporting_date"), F.quarter(end).alias("reporting_quarter"),
-            F.lit("CARRIED").alias("aoc_step"), F.lit(0).alias("aoc_order"), "amount", "var_period"))
+            F.lit("CARRIED").alias("aoc_step"), F.lit(0).alias("aoc_order"), "amount", "var_period",
+            *([F.lit(None).cast(RATIO).alias("ratio")] if patterns is not None else [])))
 
     def with_goc(rows: DataFrame) -> DataFrame:
         return bounded_broadcast_join(
@@ -216,6 +224,7 @@ def treaty_bs_state(
         F.coalesce(has_roll, F.lit(False)).alias("has_roll"), prev_var_cum.alias("roll_cf"),
         roll_proxy.alias("roll_proxy"), F.col("p_state").alias("roll_state"),
         *([F.col("cum").alias("after_cum"), F.col("aoc_order").alias("step_order")] if params.carry_release else []),
+        *(["ratio"] if patterns is not None else []),
         *([money(step_csm).alias("goc_csm"), money(step_lc).alias("goc_lc")] if params.to_the_cent else []),
     )
     if params.to_the_cent:
@@ -224,7 +233,7 @@ def treaty_bs_state(
     # -- OPENING choice and CSM release (one OPENING per treaty x date; roll-forward wins)
     roll_at_date = F.max(F.col("has_roll").cast("int")).over(by_date) == 1
     first_at_date = (F.col("init_q1_at_date") == 1) & ~roll_at_date
-    ratio = release_ratio(F.col("reporting_quarter"), params.release_ratios)
+    ratio = F.col("ratio") if patterns is not None else release_ratio(F.col("reporting_quarter"), params.release_ratios)
     ev = ev.select(
         "*",
         (is_init & first_at_date).alias("has_first"),

@@ -66,6 +66,7 @@ class Ledger:
         share_movements: bool = True,
         materialize_retro: bool = False,
         keep_rejects: bool = False,
+        patterns: DataFrame | None = None,
     ) -> None:
         self.spark = spark
         self.raw = raw
@@ -82,6 +83,8 @@ class Ledger:
         self.materialize_retro = materialize_retro
         # keep the rows that the ledger leaves out, beside those it takes (``rejects``)
         self.keep_rejects = keep_rejects
+        # release patterns of single treaties (treaty_id, effective_date, quarter, ratio)
+        self.patterns = patterns
 
     #: Raw tables that grow with the treaties and are joined or aggregated by treaty.
     TREATY_TABLES = ("treaty_master", "cashflow_input")
@@ -228,7 +231,8 @@ class Ledger:
     def int_treaty_bs_state(self) -> DataFrame:
         df = treaty_state.treaty_bs_state(
             self._movements, self.goc_periods, self.goc_period_rows, self.params,
-            cut=lambda rows: cut_lineage(rows, "treaty_shares", self.scratch))
+            cut=lambda rows: cut_lineage(rows, "treaty_shares", self.scratch), patterns=self.patterns,
+            last_year=(self._last_period - 1) // 4 if self.patterns is not None else 0)
         return cut_lineage(df, "treaty_bs_state", self.scratch) if self.materialize_treaty else df
 
     # -- retro (R1-R4) ---------------------------------------------------------

@@ -174,6 +174,26 @@ def val_treaty_goc_reconciliation_cent(spark: SparkSession, sf_dir: str) -> Data
     return validate.val_treaty_goc_reconciliation(led.int_treaty_bs_state, led.int_goc_bs_state, exact)
 
 
+def _patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release patterns for two thirds of the treaties: quarterly and later once a year, or halves from 1998 on."""
+    n = F.substring("treaty_id", 6, 18).cast("long") % 3
+    t = Ledger.from_driver(spark, sf_dir).stg_treaty_master.where("treaty_type = 'ASSUMED'")
+
+    def pattern(kind: int, since: str, ratios: dict[int, str]) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit(q).alias("quarter"), F.lit(Decimal(r)).cast("decimal(9,6)").alias("ratio"))
+                                   for q, r in ratios.items()]))
+        return t.where(n == kind).select("treaty_id", F.lit(since).cast("date").alias("effective_date"), each.alias("x")).select(
+            "treaty_id", "effective_date", "x.quarter", "x.ratio")
+
+    return (pattern(0, "1997-01-01", dict.fromkeys((1, 2, 3, 4), "0.25")).unionByName(pattern(0, "1999-07-01", {4: "1.00"}))
+            .unionByName(pattern(1, "1998-01-01", {2: "0.50", 4: "0.50"})))
+
+
+def int_treaty_bs_state_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The treaty ledger with release patterns of single treaties."""
+    return Ledger.from_driver(spark, sf_dir, patterns=_patterns(spark, sf_dir)).int_treaty_bs_state
+
+
 def treaty_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treaty_state.treaty_cumulative(_ledger(spark, sf_dir).int_treaty_quarterly_movement)
 
@@ -232,6 +252,7 @@ def queries() -> dict[str, Query]:
     q["goc_at_closing"] = _goc_snapshot(S.CLOSING)
     q["treaty_csm_proxy"] = treaty_csm_proxy
     q["treaty_cumulative"] = treaty_cumulative
+    q["int_treaty_bs_state_patterns"] = int_treaty_bs_state_patterns
     q["src_cashflow_input_as_of"] = src_cashflow_input_as_of
     q["int_treaty_bs_state_as_of"] = int_treaty_bs_state_as_of
     q["int_treaty_bs_state_carried"] = int_treaty_bs_state_carried
