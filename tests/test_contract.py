@@ -110,10 +110,25 @@ def test_released_run_leaves_no_tables(spark, monkeypatch):
     assert session.release_run(spark) and not os.path.exists(folder)
 
 
-def test_rest_works_without_the_corpus_operators():
-    """Nothing outside gocledger.llm and its tests imports it; the entry module guards it."""
+def test_rest_works_without_the_corpus_operators(tmp_path):
+    """A copy without the corpus operators and their pipeline imports, lists its queries and SQL, and collects its tests."""
     import pathlib
+    import shutil
+    import subprocess
+    import sys
+
     root = pathlib.Path(E.__file__).parent
     for path in (root / "gocledger").rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert "gocledger.llm" not in path.read_text(), path
+    ignore = shutil.ignore_patterns("llm", "__pycache__", ".git", "corpus_pipeline.py", "*.json", "*.txt")
+    shutil.copytree(root, tmp_path / "copy", ignore=ignore)
+    code = "import __spark_entry__ as e; print('QUERIES', len(e.queries()), len(e.oracle_sql()))"
+    env = {**os.environ, "PYTHONDONTWRITEBYTECODE": "1", "PYTHONPATH": ""}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=120, env=env)
+    from gocledger.plans import registry
+    n = len(registry.queries())
+    assert f"QUERIES {n} {n}" in done.stdout, done.stderr[-1000:]
+    found = subprocess.run([sys.executable, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider"],
+                           cwd=tmp_path / "copy", capture_output=True, text=True, timeout=300, env=env)
+    assert found.returncode == 0 and "error" not in found.stdout.lower(), found.stdout[-1000:]
