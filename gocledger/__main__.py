@@ -53,13 +53,11 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     from gocledger.plans.pipeline import Ledger
-    from gocledger.session import release_run
+    from gocledger.session import own_run
 
     spark = _session()
-    try:
+    with own_run(spark):
         return _command(args, spark, Ledger)
-    finally:
-        release_run(spark)
 
 
 def _command(args: argparse.Namespace, spark: SparkSession, Ledger: type) -> int:

@@ -110,6 +110,21 @@ def test_released_run_leaves_no_tables(spark, monkeypatch):
     assert session.release_run(spark) and not os.path.exists(folder)
 
 
+def test_cli_leaves_the_tables_of_the_run_around_it(spark, capsys):
+    from gocledger import session
+    from gocledger.__main__ import main
+    before = session.RUN
+    kept = session.cut_lineage(spark.range(5).toDF("x"), "kept")
+    assert main(["test", "--sf-dir", "/root/testdata/sf0.001"]) == 1
+    assert session.RUN == before and kept.count() == 5
+    runs = os.path.dirname(session.run_folder(spark).replace("file:", ""))
+    with session.own_run(spark):
+        inner = os.path.join(runs, session.RUN)
+        session.cut_lineage(spark.range(5).toDF("x"), "gone")
+        assert inner != os.path.join(runs, before) and os.listdir(inner)
+    assert not os.path.exists(inner)
+
+
 def test_rest_works_without_the_corpus_operators(tmp_path):
     """A copy without the corpus operators and their pipeline imports, lists its queries and SQL, and collects its tests."""
     import pathlib
