@@ -327,6 +327,24 @@ def test_registered_banding_finds_pairs_at_the_threshold(spark, tmp_path):
     assert got <= want and len(want) > 350 and len(got) >= 0.999 * len(want)
 
 
+def test_signing_makes_a_row_of_many_shingles(spark):
+    """The minima are those over all shingles, but a shingle is no row of its own (166 million rows on 0.10 GB)."""
+    lines = ["abc", "five5", "x" * 40, "日本語" * 10, "a😀bc😀de"] + [prose(i, n)[:c] for i, (n, c) in enumerate([(9, 20), (9, 21), (40, 999)])]
+    df = linedup._hashed(spark.createDataFrame([(x,) for x in lines + lines[:3]], "line string"), 7)
+    got = {(r.h1, r.h2): r for r in linedup._signed(df, 5, 16, 3, 7).collect()}
+
+    def least(mask):
+        return F.array_min(F.transform(linedup.char_shingles(F.col("line")), lambda h: h.bitwiseXOR(F.lit(mask))))
+
+    low = df.select("h1", "h2", F.array(*[least(m) for m in linedup._masks(48, 7)]).alias("m"))
+    keys = low.select("h1", "h2", *[F.xxhash64(F.lit(b), *[F.col("m")[3 * b + i] for i in range(3)]).alias(f"b{b}") for b in range(16)])
+    want = {(r.h1, r.h2): r for r in keys.distinct().collect()}
+    assert got == want and len(got) == len(lines)
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select(
+        F.explode(linedup._runs(linedup._last(F.col("line"), 5)))).count()
+    assert rows == sum(-(-max(len(x) - 4, 1) // linedup.RUN) for x in lines) < sum(max(len(x) - 4, 1) for x in lines) / 8
+
+
 def test_line_feeds_alone_separate_lines(spark):
     """A carriage return belongs to its line: a line with one differs from the line without by that character."""
     rows = [(1, "one line of text\r\nanother line of text\r\n"), (2, "one line of text\r\nsomething else altogether"), (3, "x\ry")]
