@@ -345,6 +345,40 @@ def test_signing_makes_a_row_of_many_shingles(spark):
     assert rows == sum(-(-max(len(x) - 4, 1) // linedup.RUN) for x in lines) < sum(max(len(x) - 4, 1) for x in lines) / 8
 
 
+def test_sketches_part_unlinked_lines_only(spark):
+    """Bitmaps and thinned shingles exclude no linked pair and nearly all unlike ones, short lines and long ones."""
+    rng = random.Random(13)
+    lines = ["abc", "five5", "x. " * 700, "x. " * 500]
+    for n in (6, 20, 60, 150, 400):                                       # words: the last two kinds have more shingles than bits
+        for _ in range(4):
+            words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(n)]
+            lines.append(" ".join(words))
+            for share in (0.01, 0.03, 0.2):
+                lines.append(" ".join(w if rng.random() > share else f"e{rng.randrange(99)}" for w in words))
+    lines = sorted(set(lines))
+    df = linedup._hashed(spark.createDataFrame([(x,) for x in lines], "line string"), 7)
+    sketch = linedup._sketched(df, 5, 16, 3, 7).join(df.select("h1", "line"), "h1").select("line", *linedup._MARKS)
+    one, other = [sketch.select([F.col(c).alias(p + c) for c in sketch.columns]) for p in ("x_", "y_")]
+    kept = {(r.x_line, r.y_line) for r in one.join(other, F.col("x_line") < F.col("y_line")).where(
+        linedup._may_link("x_", "y_", 0.8)).select("x_line", "y_line").collect()}
+    sets = {x: five_grams(x) for x in lines}
+    pairs = {(x, y): len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for x in lines for y in lines if x < y}
+    links = {p for p, j in pairs.items() if j >= 0.8 - 1e-9}
+    unlike = {p for p, j in pairs.items() if j < 0.4}
+    assert links <= kept and len(links) > 20
+    assert len(kept & unlike) < 0.02 * len(unlike) and sketch.where("thin is not null").count() >= 16
+
+
+def test_scratch_tables_of_lines_go_when_read(spark):
+    """Texts, sketches, pairs and links are deleted before the result is made: two tables are left for it."""
+    rows = [(i, prose(i % 5, 30) + (f" edit{i}" if i % 2 else "") + "\n" + prose(40 + i, 12)) for i in range(20)]
+    scratch = Scratch(spark)
+    removed = linedup.repeated_lines(docs(spark, rows), scratch)
+    assert len(scratch.paths) == 2
+    want, _ = brute_lines(rows)
+    assert {(False, r.doc_id, i) for r in removed.collect() for i in r.removed} == want and want
+
+
 def test_line_feeds_alone_separate_lines(spark):
     """A carriage return belongs to its line: a line with one differs from the line without by that character."""
     rows = [(1, "one line of text\r\nanother line of text\r\n"), (2, "one line of text\r\nsomething else altogether"), (3, "x\ry")]
